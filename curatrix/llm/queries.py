@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import current_captions, current_manifest, quality_score, row_score, table, usable
 from curatrix.llm.contributor_cap import set_name, split_by_cap
 from curatrix.llm.grouping import connected_groups
+from curatrix.llm.mixing import counted_documents, mix, mixing_rates, share_report
+from curatrix.llm.packing import fill_report, pack
+from curatrix.llm.stuffing import page_scores, stuffed_pages
 from curatrix.llm.survivorship import Attribute, survivors
 from curatrix.llm.term_frequency import partial_counts, term_frequencies
+from curatrix.llm.tokens import token_count
 
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:
@@ -93,4 +97,40 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_frequencies, p2_found, p2_capped, p3_found, p4_found)}
+def p6_packing(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    items = docs.select(F.col("doc_id").alias("item_id"), token_count(F.col("text")).alias("size"))
+    return pack(items, table(spark, d, "containers"), docs.count()).withColumnRenamed("item_id", "doc_id")
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return fill_report(p6_packing(spark, d))
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, list[dict]]:
+    docs = counted_documents(table(spark, d, "documents"), token_count(F.col("text")))
+    rates = mixing_rates(docs, table(spark, d, "mix_targets"))
+    return mix(docs, rates), rates
+
+
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[0]
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    mixed, rates = _mix(spark, d)
+    return share_report(spark, mixed, rates)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return stuffed_pages(table(spark, d, "documents"), "doc_id", "text").select("doc_id")
+
+
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    return page_scores(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_frequencies, p2_found, p2_capped, p3_found, p4_found, p6_packing, p6_report, p7_mix, p7_report, p8_found, p8_scores)
+}
