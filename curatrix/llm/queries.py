@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import current_captions, current_manifest, quality_score, row_score, table, usable
@@ -14,6 +14,7 @@ from curatrix.llm.stuffing import page_scores, stuffed_pages
 from curatrix.llm.survivorship import Attribute, survivors
 from curatrix.llm.term_frequency import partial_counts, term_frequencies
 from curatrix.llm.tokens import token_count
+from curatrix.llm.truncation import source_shares, truncated
 
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:
@@ -97,6 +98,28 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """Every text of both columns; an even uid is a caption's, an odd one a manifest row's."""
+    dense = table(spark, d, "captions").select((F.col("caption_id") * 2).alias("uid"), F.col("caption_dense").alias("text"), F.col("engine").alias("source"))
+    plain = table(spark, d, "manifest_entries").select((F.col("line_no") * 2 + 1).alias("uid"), F.col("caption_text").alias("text"), F.col("source"))
+    return dense.unionByName(plain).where(F.col("uid").isNotNull())
+
+
+def _text_column() -> Column:
+    return F.when(F.pmod("uid", F.lit(2)) == 0, "caption_dense").otherwise("caption_text")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncated(_texts(spark, d)).where("cut").select(_text_column().alias("text_column"), F.expr("uid div 2").alias("row_id"))
+
+
+def p5_source_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Share of cut texts per engine and manifest source, over the rows with a text."""
+    texts = _texts(spark, d)
+    judged = texts.select("uid", F.lower(F.trim("source")).alias("source")).join(truncated(texts), "uid").withColumn("text_column", _text_column())
+    return source_shares(judged, F.col("source"))
+
+
 def p6_packing(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     items = docs.select(F.col("doc_id").alias("item_id"), token_count(F.col("text")).alias("size"))
@@ -132,5 +155,5 @@ def p8_scores(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_frequencies, p2_found, p2_capped, p3_found, p4_found, p6_packing, p6_report, p7_mix, p7_report, p8_found, p8_scores)
+    for f in (p1_found, p1_frequencies, p2_found, p2_capped, p3_found, p4_found, p5_found, p5_source_shares, p6_packing, p6_report, p7_mix, p7_report, p8_found, p8_scores)
 }
