@@ -48,7 +48,9 @@ def _pack_group(table: pa.Table) -> pa.Table:
             whole.append((ident, copy, piece, piece * capacity, capacity))
         if not full or size % capacity:
             items.append((ident, copy, full, full * capacity, size - full * capacity))
-    items.sort(key=lambda x: (-x[4], x[0] is None, x[0] or 0, x[1]))
+    order = lambda x: (-x[4], x[0] is None, x[0] or 0, x[1], x[2])
+    items.sort(key=order)
+    whole.sort(key=order)
     bins = first_fit_decreasing([x[4] for x in items], capacity)
     rows = list(zip(bins, items)) + list(zip(range(max(bins, default=-1) + 1, len(whole) + max(bins, default=-1) + 1), whole))
     column = lambda i: pa.array([r[1][i] for r in rows], pa.int64())
