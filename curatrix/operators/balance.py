@@ -65,12 +65,11 @@ def aspect_histogram(df: DataFrame, ratio: str = "aspect_ratio") -> DataFrame:
 def dominance(df: DataFrame, column: str, threshold: float) -> DataFrame:
     """(value, n, ratio to 3 decimals) of the values whose share of all rows is above ``threshold``, strictly.
 
-    The total comes from the grouped counts, so the window runs over distinct values only.
+    The total is counted first (from file footers, for a plain table) and enters the plan as a number.
     """
+    total = max(1, df.count())
     counts = df.groupBy(F.coalesce(F.col(column), F.lit("unknown")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    shares = counts.join(F.broadcast(total))  # the total is one row
-    return shares.where(F.col("n") / F.col("total") > threshold).select("value", "n", F.bround(F.col("n") / F.col("total"), 3).alias("ratio"))
+    return counts.where(F.col("n") / total > threshold).select("value", "n", F.bround(F.col("n") / total, 3).alias("ratio"))
 
 
 def repeats(counts: DataFrame, n: str = "n", max_factor: float = 4.0) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions.scalars import hamming
+from curatrix.session import cut_lineage
 
 
 def median_bits(vector: Column, dims: int = 64) -> tuple[Column, Column]:
@@ -21,7 +25,7 @@ def median_bits(vector: Column, dims: int = 64) -> tuple[Column, Column]:
 
 
 def _bands(hi: Column, lo: Column, n: int) -> Column:
-    """``n`` bands that together hold all 64 bits: (band number, value)."""
+    """The values of ``n`` bands that together hold all 64 bits."""
     edges = [round(i * 64 / n) for i in range(n + 1)]
     out = []
     for b in range(n):
@@ -29,26 +33,44 @@ def _bands(hi: Column, lo: Column, n: int) -> Column:
         for bit in range(edges[b], edges[b + 1]):
             half, shift = (hi, 31 - bit) if bit < 32 else (lo, 63 - bit)
             value = F.shiftleft(value, 1).bitwiseOR(F.shiftright(half, shift).bitwiseAND(1))
-        out.append(F.struct(F.lit(b).alias("band"), value.alias("value")))
+        out.append(value)
     return F.array(*out)
 
 
+def band_count(rows: int, at_most: int, most_keys: int = 1_000) -> int:
+    """How many bands cost least for so many hashes: keys per hash against expected false candidates.
+
+    With m bands, two hashes within t bits agree in m - t of them at least, so every choice of m - t bands
+    is a key of about 64 * (m - t) / m bits. More bands mean more keys and longer, hence rarer, ones.
+    """
+
+    def cost(m: int) -> float:
+        return math.comb(m, at_most) * (rows + rows * rows / 2 ** (64 * (m - at_most) / m))
+
+    return min((m for m in range(at_most + 1, at_most + 9) if math.comb(m, at_most) <= most_keys), key=cost)
+
+
 def hamming_pairs(df: DataFrame, ident: str, hi: str, lo: str, at_most: int) -> DataFrame:
-    """(a, b, distance) of every pair of different ids at most ``at_most`` bits apart, a < b; exact.
+    """(a, b, distance) of every pair of different hashes at most ``at_most`` bits apart, a < b; exact.
 
-    Two hashes within t bits agree in at least one of t + 1 bands. Rows with equal hashes are one class
-    first: classes are joined through their bands, and a class's members are linked to its least id by
-    the caller (``class_links``), so identical copies are never multiplied out here. The result pairs
-    class representatives, the least id of each distinct hash.
+    Hashes are split into bands by ``band_count`` and joined on every choice of bands that a near pair
+    must share; the distance of each candidate is then computed. Rows with equal hashes are one class
+    first, so identical copies are never multiplied out: the result pairs class representatives (the least
+    id of each hash), and ``class_links`` ties the members to them. Null hashes are in no pair.
     """
     if not 0 <= at_most <= 20:
         raise ValueError("banding is useful up to 20 bits")
     classes = df.where(F.col(hi).isNotNull() & F.col(lo).isNotNull()).groupBy(F.col(hi).alias("hi"), F.col(lo).alias("lo")).agg(F.min(ident).alias("id"))
-    banded = classes.select("id", "hi", "lo", F.inline(_bands(F.col("hi"), F.col("lo"), at_most + 1)))
-    a = banded.select("band", "value", F.col("id").alias("a"), F.col("hi").alias("ah"), F.col("lo").alias("al"))
-    b = banded.select("band", "value", F.col("id").alias("b"), F.col("hi").alias("bh"), F.col("lo").alias("bl"))
+    classes = cut_lineage(classes)
+    bands = band_count(classes.count(), at_most)
+    choices = F.array(*[F.array(*[F.lit(i) for i in c]) for c in itertools.combinations(range(bands), bands - at_most)])
+    spread = classes.withColumn("b", _bands(F.col("hi"), F.col("lo"), bands)).select("id", "hi", "lo", "b", F.posexplode(choices).alias("n", "c"))
+    # A hash of the chosen bands suffices as the key: a collision is one candidate more, not a pair.
+    keyed = spread.select("id", "hi", "lo", F.xxhash64("n", F.transform("c", lambda i: F.get("b", i))).alias("key"))
+    a = keyed.select("key", F.col("id").alias("a"), F.col("hi").alias("ah"), F.col("lo").alias("al"))
+    b = keyed.select("key", F.col("id").alias("b"), F.col("hi").alias("bh"), F.col("lo").alias("bl"))
     distance = hamming((F.col("ah"), F.col("al")), (F.col("bh"), F.col("bl")))
-    near = a.join(b, ["band", "value"]).where((F.col("a") < F.col("b")) & (distance <= at_most))
+    near = a.join(b, "key").where((F.col("a") < F.col("b")) & (distance <= at_most))
     return near.select("a", "b", distance.alias("distance")).distinct()
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curatrix.session import cut_lineage
+
 
 def top_n(df: DataFrame, score: Column, n: int, ties: Sequence[str]) -> DataFrame:
     """The ``n`` rows with the highest score, ties by the ``ties`` columns; a distributed top-k, no full sort."""
@@ -45,21 +47,36 @@ def tier(position: Column, weights: tuple[int, int, int] = (30, 40, 30), names:
     return F.when(m < weights[0], names[0]).when(m < weights[0] + weights[1], names[1]).otherwise(names[2])
 
 
-def dense_positions(df: DataFrame, order: str, name: str = "position") -> DataFrame:
-    """0-based positions in the order of a unique column, without one task seeing all rows.
+def dense_positions(df: DataFrame, order: str | Sequence[str], name: str = "position") -> DataFrame:
+    """0-based positions in the order of columns that are unique together, without one task seeing all rows.
 
-    Rows are range-partitioned and numbered within their partition; each partition adds the count of
-    those before it, which is one number per partition.
+    Rows are range-partitioned, stored and numbered within their partition; each partition adds the count
+    of those before it, which is one number per partition.
     """
-    from curatrix.session import cut_lineage
-
-    parts = cut_lineage(df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__p", F.spark_partition_id()))
+    order = [order] if isinstance(order, str) else list(order)
+    parts = cut_lineage(df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()))
     sizes = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
-    local = F.row_number().over(Window.partitionBy("__p").orderBy(order)) - 1
+    local = F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1
     return parts.withColumn("__l", local).join(F.broadcast(before), "__p").withColumn(name, (F.col("__before") + F.col("__l")).cast("long")).drop("__p", "__l", "__before")
 
 
+def unique_names(df: DataFrame, folder: str, name: str, ident: str, out: str = "unique_name") -> DataFrame:
+    """Names made unique per folder, ignoring case: the first by ``ident`` keeps its own, the k-th gets _k before the extension.
+
+    Positions come from a range partitioning of (folder, name, ident), so one name in a third of all rows
+    is numbered by several tasks. A suffixed name is not checked against other rows' own names.
+    """
+    keyed = df.withColumn("__f", F.coalesce(F.col(folder), F.lit(""))).withColumn("__n_", F.lower(F.coalesce(F.col(name), F.lit(""))))
+    placed = dense_positions(keyed, ["__f", "__n_", ident], "__at")
+    starts = placed.groupBy("__f", "__n_").agg(F.min("__at").alias("__first"))
+    ext = F.regexp_extract(name, r"[^.](\.[^.]*)$", 1)
+    stem = F.substring(F.col(name), F.lit(1), F.length(name) - F.length(ext))
+    k = F.col("__at") - F.col("__first")
+    named = placed.join(starts, ["__f", "__n_"]).withColumn(out, F.when(k == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), k.cast("string"), ext)))
+    return named.drop("__f", "__n_", "__at", "__first")
+
+
 def batches(position: Column, size: int) -> Column:
     """The batch that a 0-based position falls into."""
     return F.floor(position / size).cast("long")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import compliance, json_repair, scalars
 from curatrix.functions import html as pages
-from curatrix.operators import balance, components, dedup, fingerprint, gates, select
+from curatrix.operators import balance, components, dedup, fingerprint, gates, select, stages
 from curatrix.operators.state import latest_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,12 @@ def q_reason_histogram(spark, d):
     return balance.reason_histogram(_t(spark, d, "manifest_entries"))
 
 
+@_query("SELECT line_no, coalesce(len(rejection_reasons) > 0, false) OR coalesce(stages_status['stage2_qc'] = 'rejected', false) OR coalesce(stages_status['stage4_caption'] = 'rejected_screening', false) AS rejected FROM manifest_entries")
+def q_is_rejected(spark, d):
+    rules = {"stage2_qc": ("rejected",), "stage4_caption": ("rejected_screening",)}
+    return _t(spark, d, "manifest_entries").select("line_no", stages.is_rejected(F.col("stages_status"), F.col("rejection_reasons"), rules).alias("rejected"))
+
+
 @_query("SELECT e.key AS stage, e.value AS status, count(*) AS n FROM (SELECT unnest(map_entries(stages_status)) AS e FROM manifest_entries) GROUP BY 1, 2")
 def q_stage_status_counts(spark, d):
     return balance.stage_status_counts(_t(spark, d, "manifest_entries"))
@@ -494,6 +500,21 @@ def q_caption_tier(spark, d):
     return rows.select("doc_id", "position", select.tier(F.col("position")).alias("tier"), select.batches(F.col("position"), 64).alias("batch"))
 
 
+@_query(
+    r"""SELECT line_no, CASE WHEN k = 0 THEN name ELSE regexp_replace(name, '(\.[^.]*)$', '') || '_' || k || regexp_extract(name, '(\.[^.]*)$', 1) END AS unique_name FROM
+    (SELECT *, row_number() OVER (PARTITION BY source, lower(name) ORDER BY line_no) - 1 AS k FROM (SELECT line_no, coalesce(source, '') AS source, string_split(raw_path, '/')[-1] AS name FROM manifest_entries WHERE raw_path IS NOT NULL))"""
+)
+def q_unique_names(spark, d):
+    rows = _t(spark, d, "manifest_entries").where("raw_path is not null").select("line_no", "source", F.element_at(F.split("raw_path", "/"), -1).alias("name"))
+    return select.unique_names(rows, "source", "name", "line_no").select("line_no", "unique_name")
+
+
+@_query(f"WITH {_CUR}, g AS (SELECT phash_cluster_id AS g, min(image_id) AS root FROM cur WHERE phash_cluster_id IS NOT NULL GROUP BY 1) SELECT g AS grp, printf('cluster_%04d', row_number() OVER (ORDER BY root)) AS label FROM g")
+def q_cluster_labels(spark, d):
+    roots = _items(spark, d, "phash_cluster_id").where("phash_cluster_id is not null").groupBy(F.col("phash_cluster_id").alias("grp")).agg(F.min("image_id").alias("root"))
+    return select.dense_positions(roots, "root").select("grp", components.display_label(F.col("position") + 1).alias("label"))
+
+
 @_query("SELECT a.w AS a_weight, b.w AS b_weight, printf('w%d_%d', (a.w * 100)::INT, (b.w * 100)::INT) AS cell FROM (VALUES (0.4::DOUBLE), (0.7), (1.0)) a(w), (VALUES (0.5::DOUBLE), (0.8)) b(w)")
 def q_weight_matrix(spark, d):
     cells = select.grid({"a_weight": [0.4, 0.7, 1.0], "b_weight": [0.5, 0.8]}, spark)

@@ -120,3 +120,16 @@ def test_best_variant_and_distinct(spark):
 def test_trigger(spark, own, category, want):
     df = spark.createDataFrame([(own, category)], "o string, c string")
     assert df.select(scalars.resolve_trigger(F.col("o"), F.lit("{category} look"), F.col("c"), "set", "d")).first()[0] == want
+
+
+def test_map_with_fallback(spark):
+    from curatrix.functions.guarded import map_with_fallback
+
+    def batch(values):
+        if any(v == "bad" for v in values):
+            raise ValueError("no")
+        return [v.upper() for v in values]
+
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "c"), (4, None)], "i long, v string").coalesce(1)
+    got = {r.i: (r.result, r.error) for r in map_with_fallback(df, "i", "v", batch, rows_at_once=4).collect()}
+    assert got[1] == ("A", None) and got[2] == (None, "ValueError: no") and got[3] == ("C", None) and got[4][0] is None
