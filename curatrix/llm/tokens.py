@@ -31,4 +31,5 @@ def token_count(text: Column, path: str = DEFAULT_VOCABULARY) -> Column:
         enc = encoder(path)
         return pd.Series([None if t is None else len(enc.encode_ordinary(t)) for t in texts], dtype="Int64")
 
-    return pandas_udf(run, "long")(text)
+    # Marked so that a filter on the count is not pushed below it, which would encode every text twice.
+    return pandas_udf(run, "long").asNondeterministic()(text)
