@@ -57,7 +57,8 @@ def _set_names(category: pd.Series, title: pd.Series) -> pd.Series:
 
 def set_name(category: str, title: str) -> Column:
     """Set within category as one string, by Arrow batches; null for rows that belong to no set."""
-    return pandas_udf(_set_names, "string")(F.col(f"`{category}`"), F.col(f"`{title}`"))
+    # Marked so that filters on the name are not pushed below it, which would run it again for each.
+    return pandas_udf(_set_names, "string").asNondeterministic()(F.col(f"`{category}`"), F.col(f"`{title}`"))
 
 
 class _Worst:
