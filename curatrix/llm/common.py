@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curatrix.operators.state import latest_rows
 
-_BLANKS = re.compile(r"[\s​⁠﻿]+")
+_BLANKS = re.compile("[\\s\u200b\u2060\ufeff]+")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -74,6 +74,19 @@ def test_cap_against_brute_force(spark):
         split_by_cap(df, "g", "id", "score")
 
 
+def test_cap_with_missing_ids_and_equal_scores(spark):
+    rows = [("g", None, 9.0), ("g", "b", 1.0), ("g", "a", 1.0), ("g", "c", 1.0), (None, None, None)]
+    df = spark.createDataFrame(rows, "g string, id string, score double")
+    assert {r.id for r in split_by_cap(df, "g", "id", "score", cap=2, beyond=True).collect()} == {None, "c"}
+    assert [r.id for r in split_by_cap(df, "g", "id", "score", cap=2).orderBy("id").collect()] == [None, "a", "b"]
+
+
+def test_very_long_element(spark):
+    df = spark.createDataFrame([(["a b " * 50_000 + ", x"],)], "t array<string>")
+    got = term_frequencies([partial_counts(df, {"t": F.col("t")})]).collect()
+    assert {len(r.term) for r in got} == {199_999, 1}
+
+
 def test_survivors(spark):
     rows = [
         ("c", "b", 1.0, 5, "x"), ("c", "a", 1.0, 5, "y"), ("c", "z", None, 9, None), ("c", "n", float("nan"), 9, None),
