@@ -309,7 +309,7 @@ def q_vocabulary_validation(spark, d):
 )
 def q_clean_title(spark, d):
     t = F.col("context_title")
-    return _t(spark, d, "manifest_entries").where(~F.contains(t, F.lit(" "))).select("line_no", scalars.clean_title(t).alias("title"))
+    return _t(spark, d, "manifest_entries").where(~F.contains(t, F.lit("\u00a0"))).select("line_no", scalars.clean_title(t).alias("title"))
 
 
 @_query("SELECT line_no, list_filter(list_transform(context_tags, lambda x: trim(x)), lambda x, i: x <> '' AND list_position(list_transform(context_tags, lambda y: lower(trim(y))), lower(x)) = i) AS tags FROM manifest_entries WHERE context_tags IS NOT NULL AND NOT list_contains(list_transform(context_tags, lambda x: x IS NULL), true)")

@@ -25,7 +25,7 @@ def build_session(master: str = "local[*]", app: str = "curatrix", **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where the setting is absent."""
+    """The shared folder named by spark.checkpoint.dir; in local mode without that setting a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -33,6 +33,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="curatrix_checkpoint_")
         spark.sparkContext.setCheckpointDir(current)
     return current
