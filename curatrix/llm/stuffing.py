@@ -39,7 +39,9 @@ _LINK = re.compile(
     r"<a\b[^<>]*>[^<>]*</a>|<meta\b[^<>]*>|\[url=[^\[\]]*\][^\[\]]*\[/url\]|\[[^\[\]]{0,200}\]\((?:https?:|www\.)[^()\s]*\)"
     r"|\b(?:https?://|www\.)\S+|\b[a-z0-9][a-z0-9-]*(?:\.[a-z0-9-]+)*\.[a-z]{2,12}/\S*|(?<!\w)#\w[\w'’&-]*(?:#[\w'’&-]+)*"
 )
-_UNIT = re.compile(r"(?P<stop>[.!?…])[\"'”»)]*(?:\s+|$)|[\n\r]+|\s[|>·•/]\s|\s;\s")
+_UNIT = re.compile(r"(?P<stop>[.!?…])[\"'”»)]*(?:\s+|$)|[\n\r]+|\s[|>·•/;]\s")
+#: What every link, tag and metadata element contains; a page without it needs no closer look for them.
+_LINK_HINT = re.compile(r"://|www\.|<a\b|<meta\b|\[url=|\]\(|#\w|\.[a-z]{2,12}/")
 #: Words of a section that gets one automaton, which bounds the memory that a very long page takes.
 SECTION = 20_000
 _CHUNK = 30
@@ -54,48 +56,62 @@ def dense_words(words: list[str], content: list[bool], density: float, at_least:
     marks, at every end position, the longest dense substring on the suffix-link path.
     """
     n = len(words)
-    nxt: list[dict] = [{}]
-    link, length, count, first = [-1], [0], [0], [0]
-    last = 0
+    nxt: list = [None] * (2 * n + 1)  # a state's transitions: a dict made with its first one
+    nxt[0] = {}
+    link, length, count, first = [-1] * (2 * n + 1), [0] * (2 * n + 1), [0] * (2 * n + 1), [0] * (2 * n + 1)
+    last, size = 0, 1
     for i, w in enumerate(words):
-        cur = len(nxt)
-        nxt.append({})
-        link.append(0)
-        length.append(length[last] + 1)
-        count.append(1)
-        first.append(i)
+        cur = size
+        size += 1
+        length[cur], count[cur], first[cur] = i + 1, 1, i
         p = last
-        while p != -1 and w not in nxt[p]:
-            nxt[p][w] = cur
+        while p != -1:
+            t = nxt[p]
+            if t is None:
+                nxt[p] = {w: cur}
+            elif w in t:
+                break
+            else:
+                t[w] = cur
             p = link[p]
-        if p != -1:
+        if p == -1:
+            link[cur] = 0
+        else:
             q = nxt[p][w]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone = len(nxt)
-                nxt.append(nxt[q].copy())
-                link.append(link[q])
-                length.append(length[p] + 1)
-                count.append(0)
-                first.append(first[q])
+                clone = size
+                size += 1
+                nxt[clone] = nxt[q].copy() if nxt[q] is not None else None
+                link[clone], length[clone], first[clone] = link[q], length[p] + 1, first[q]
                 while p != -1 and nxt[p].get(w) == q:
                     nxt[p][w] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    by_length = sorted(range(1, len(nxt)), key=length.__getitem__)
+    by_length: list[int] = [0] * (size - 1)  # states by length, a counting sort
+    at_length = [0] * (n + 2)
+    for s in range(1, size):
+        at_length[length[s] + 1] += 1
+    for k in range(1, n + 2):
+        at_length[k] += at_length[k - 1]
+    for s in range(1, size):
+        k = length[s]
+        by_length[at_length[k]] = s
+        at_length[k] += 1
     for s in reversed(by_length):
-        if link[s] > 0:
-            count[link[s]] += count[s]
+        count[link[s]] += count[s]
     upto = [0]
     for c in content:
         upto.append(upto[-1] + c)
-    best = [0] * len(nxt)
+    best = [0] * size
     for s in by_length:
-        k, at = length[s], first[s] + 1
-        dense = count[s] >= at_least and k > 1 and count[s] * k >= density * n and 2 * (upto[at] - upto[at - k]) >= k
-        best[s] = k if dense else best[link[s]]
+        k = length[s]
+        if count[s] >= at_least and k > 1 and count[s] * k >= density * n and 2 * (upto[first[s] + 1] - upto[first[s] + 1 - k]) >= k:
+            best[s] = k
+        else:
+            best[s] = best[link[s]]
     marks = [0] * (n + 1)
     state = 0
     for i, w in enumerate(words):
@@ -141,7 +157,9 @@ def page_shares(text: str, density: float = 0.02, at_least: int = 3) -> tuple[fl
         linked += m.end() - m.start()
         return "\n"
 
-    body = _MARKUP.sub(" ", _LINK.sub(cut, low))
+    body = _LINK.sub(cut, low) if _LINK_HINT.search(low) else low
+    if "<" in body or "&" in body:
+        body = _MARKUP.sub(" ", body)
     units = _units(body)
     words = [w for u, _ in units for w in u]
     if not words:
@@ -156,12 +174,15 @@ def page_shares(text: str, density: float = 0.02, at_least: int = 3) -> tuple[fl
         fw, cov = function[k : k + n], covered[k : k + n]
         k += n
         chars = sum(map(len, u)) + n
-        dense += sum(len(w) + 1 for w, c in zip(u, cov) if c)
-        share = sum(fw) / n
-        free = sum(f and not c for f, c in zip(fw, cov)) / n
+        functions, packed = sum(fw), sum(cov)
+        if packed:
+            dense += sum(len(w) + 1 for w, c in zip(u, cov) if c)
+            free = sum(f and not c for f, c in zip(fw, cov)) / n
+        else:
+            free = functions / n
+        share, packed = functions / n, packed / n
         content = [w for w, f in zip(u, fw) if not f]
         again = 1 - len(set(content)) / len(content) if content else 0.0
-        packed = sum(cov) / n
         clause = n >= 3 and (free >= 0.15 and again < 0.3 or share >= 0.25 and again < 0.2 and closed and (packed < 0.9 or n >= 8))
         if clause and not closed and (n < 7 or n >= 20):
             varied = n >= 20 and share >= 0.3 and again < 0.1 and packed < 0.1
