@@ -132,12 +132,13 @@ def leading_trigger(caption: Column, pattern: str = r"^([a-z0-9]+_[a-z0-9_]+)\s*
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.size(words(text)), F.lit(0))
+    """White-space separated words; a null text has none. Counted by matches, without building an array."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"(?U)\S+")), F.lit(0))
 
 
 def estimate_tokens(text: Column) -> Column:
     """The greater of 1.35 times the words, rounded down, and the runs of word characters plus other signs; null is 0."""
-    signs = F.size(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"), F.lit(0)))
+    signs = F.regexp_count(text, F.lit(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"))
     return F.coalesce(F.greatest(F.floor(word_count(text) * F.lit(1.35)).cast("int"), signs), F.lit(0))
 
 
