@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from curatrix.llm import truncation as T
 from curatrix.llm.stuffing import dense_words, page_scores, page_shares, stuffed_pages
@@ -94,6 +95,35 @@ def test_pairs_decide(spark):
     assert {r.uid: (r.cut, r.how) for r in T.truncated(df).collect()}[2] == (True, "aligned")
 
 
+def test_every_longer_text_of_a_bucket_is_tried(spark):
+    whole = " ".join(f"word{i} stands beside item{i}" for i in range(30)) + ". And then it all ends in a garden by the sea."
+    other = whole.replace("ends in a garden by the sea", "stops at a window near the long table")  # longer than the whole, fails the anchor
+    cut = whole[:-15]
+    # The last ones hold the shingles of the first two, so they are the longest of all their buckets, and more than a quarter longer.
+    again = " ".join(f"lamp{i} hangs over desk{i}" for i in range(20)) + ". And then it all ends in a garden by the sea."
+    rows = [(1, whole), (2, cut), (4, other), (5, cut), (6, whole + " The end."), (7, again[:-15]), (8, again)]
+    rows += [(100 + k, f"{again} A filler{k} with tail{k}. {again}") for k in range(30)]
+    df = spark.createDataFrame(rows, "uid long, text string")
+    got = {r.uid: (r.cut, r.how) for r in T.truncated(df.repartition(3)).collect()}
+    assert got[2] == got[5] == (True, "aligned") and got[1] == (False, "aligned") and got[7] == (True, "aligned")
+
+
+def test_candidates_agree_with_brute_force_in_split_buckets(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[: rng.randrange(40, 60)] + [f"x{rng.randrange(30)}" for _ in range(rng.randrange(3))]) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "uid long, text string").select("uid", "text", F.xxhash64("text").alias("copy"))
+    features = T.cut_lineage(df.mapInArrow(T._features, "uid long, copy long, state int, n_words int, shingles int, words long, closes array<long>, before array<long>, bands array<long>"))
+    monkeypatch.setattr(T, "BUCKET_PART", 7)
+    got = {tuple(r) for r in T.candidate_pairs(features).collect()}
+    bands = {r.uid: r.bands for r in features.collect()}
+    first = [i for i, t in enumerate(texts) if texts.index(t) == i]
+    parts = {i: t.split() for i, t in enumerate(texts)}
+    size = {i: len({tuple(w[j : j + 5]) for j in range(len(w) - 4)}) for i, w in parts.items()}
+    want = {(a, b) for a in first for b in first if len(parts[a]) < len(parts[b]) and size[a] + 2 >= 0.8 * size[b] and any(x == y for x, y in zip(bands[a], bands[b]))}
+    assert got == want and len(want) > 200
+
+
 def brute_dense(words_, content, density, at_least):
     n, out = len(words_), [False] * len(words_)
     for k in range(2, n + 1):
