@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,20 @@ def clear_reasons(present: Column, prefixes: Sequence[str], exact: Sequence[str]
     return F.filter(present, lambda r: ~starts(r) & ~r.isin(*exact) if exact else ~starts(r))
 
 
+def within_vocabulary(rows: DataFrame, vocabulary: DataFrame, defaults: Mapping[str, str | None]) -> DataFrame:
+    """``rows`` with each column of ``defaults`` as the term of its dimension, else its default.
+
+    ``vocabulary`` is (dimension, term), configuration of fixed size; a column is checked against the
+    dimension of its name, in lower case with blanks and hyphens as '_'. Other columns and all rows stay.
+    """
+    for column, default in defaults.items():
+        known = f"_known_{column}"
+        terms = vocabulary.where(F.col("dimension") == column).select(F.col("term").alias(known)).distinct()
+        folded = F.lower(F.regexp_replace(F.trim(column), "[ _-]+", "_"))
+        rows = rows.join(terms, folded == F.col(known), "left").withColumn(column, F.coalesce(known, F.lit(default))).drop(known)
+    return rows
+
+
 def resolution_gate(width: Column, height: Column, least_megapixels: float) -> tuple[Column, Column]:
     """(accepted, megapixels): false and 0.0 for a missing or non-positive edge."""
     valid = F.coalesce((width > 0) & (height > 0), F.lit(False))

@@ -298,9 +298,19 @@ def q_json_prefilled(spark, d):
 )
 def q_vocabulary_validation(spark, d):
     # The vocabulary is configuration of fixed size.
-    terms = _t(spark, d, "vocabulary").where("dimension = 'style'").select(F.col("term").alias("known"))
-    s = F.lower(F.regexp_replace(F.trim("style"), "[ _-]+", "_"))
-    return _t(spark, d, "captions").join(terms, s == F.col("known"), "left").select("caption_id", F.coalesce("known", F.lit("other")).alias("style"))
+    return gates.within_vocabulary(_t(spark, d, "captions"), _t(spark, d, "vocabulary"), {"style": "other"}).select("caption_id", "style")
+
+
+def _term_sql(column: str, default: str) -> str:
+    folded = f"lower(regexp_replace(trim({column}), '[ _-]+', '_', 'g'))"
+    return f"CASE WHEN {folded} IN (SELECT term FROM vocabulary WHERE dimension = '{column}') THEN {folded} ELSE {default} END AS {column}"
+
+
+@_query(f"""SELECT caption_id, {_term_sql("style", "'other'")}, {_term_sql("location", "'other'")}, {_term_sql("pose", "'other'")}, {_term_sql("quality", "NULL")} FROM captions""")
+def q_vocabulary_dimensions(spark, d):
+    # Quality has no 'other': a grade outside the vocabulary is unknown.
+    defaults = {"style": "other", "location": "other", "pose": "other", "quality": None}
+    return gates.within_vocabulary(_t(spark, d, "captions"), _t(spark, d, "vocabulary"), defaults).select("caption_id", *defaults)
 
 
 @_query(

@@ -102,3 +102,15 @@ def test_select(spark):
     assert [r.position for r in pos.collect()] == list(range(10))
     tiers = [r[0] for r in pos.select(select.tier(F.col("position"))).collect()]
     assert [t for t in tiers] == [("tags" if (7 * i) % 100 < 30 else "short" if (7 * i) % 100 < 70 else "dense") for i in range(10)]
+
+
+def test_every_dimension_is_held_to_the_vocabulary(spark, tmp_path):
+    from curatrix.plans import catalogue
+
+    terms = [("style", "film"), ("style", "film"), ("location", "brick_loft"), ("pose", "film"), ("quality", "high")]
+    spark.createDataFrame(terms, "dimension string, term string").write.parquet(str(tmp_path / "vocabulary.parquet"))
+    rows = [(1, "Film", " Brick loft", "film", "HIGH"), (2, "brick_loft", "film", "x", "best"), (3, None, None, None, None)]
+    spark.createDataFrame(rows, "caption_id long, style string, location string, pose string, quality string").write.parquet(str(tmp_path / "captions.parquet"))
+    got = sorted(tuple(r) for r in catalogue.QUERIES["q_vocabulary_dimensions"](spark, str(tmp_path)).collect())
+    none = ("other", "other", "other", None)
+    assert got == [(1, "film", "brick_loft", "film", "high"), (2, *none), (3, *none)]
