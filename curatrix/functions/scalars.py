@@ -243,7 +243,7 @@ def page_count(html: Column, pattern: str = r"[?&/]page[=-](\d+)") -> Column:
 
 def clean_title(title: Column) -> Column:
     """A page title without a ' | site' suffix and a 'page n' tail."""
-    return collapse(F.regexp_replace(F.regexp_replace(title, r"\s+\|[^|]*$", ""), r"(?i)\s*[-–|,]?\s*[\(\[]?\bpage\s+\d+.*$", ""))
+    return collapse(F.regexp_replace(F.regexp_replace(title, r"(?U)\s+\|[^|]*$", ""), r"(?iU)\s*[-–|,]?\s*[\(\[]?\bpage\s+\d+.*$", ""))
 
 
 def distinct_ignoring_case(items: Column) -> Column:

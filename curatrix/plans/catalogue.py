@@ -263,6 +263,12 @@ def q_sanitize_name(spark, d):
     return _t(spark, d, "manifest_entries").where(t.isNull() | ~F.contains(t, F.lit("%"))).select("line_no", scalars.sanitize_name(t, 40).alias("name"))
 
 
+@_query()
+def q_sanitize_name_all(spark, d):
+    """Every row's name, percent escapes included; q_sanitize_name has the rows its SQL covers."""
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.sanitize_name(F.col("context_title"), 40).alias("name"))
+
+
 @_query("SELECT spec, pages FROM (VALUES ('1', [1]), ('3-1, 7', [1, 2, 3, 7]), ('all', [1, 2, 3, 4]), (' 2 ,2,5-6', [2, 5, 6]), ('x', NULL), ('0-2', [1, 2])) t(spec, pages)")
 def q_page_range(spark, d):
     rows = spark.createDataFrame([("1",), ("3-1, 7",), ("all",), (" 2 ,2,5-6",), ("x",), ("0-2",)], "spec string")
@@ -322,12 +328,24 @@ def q_clean_title(spark, d):
     return _t(spark, d, "manifest_entries").where(~F.contains(t, F.lit("\u00a0"))).select("line_no", scalars.clean_title(t).alias("title"))
 
 
+@_query()
+def q_clean_title_all(spark, d):
+    """Every row's title, no-break spaces and nulls included; q_clean_title has the rows its SQL covers."""
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.clean_title(F.col("context_title")).alias("title"))
+
+
 @_query("SELECT line_no, list_filter(list_transform(context_tags, lambda x: trim(x)), lambda x, i: x <> '' AND list_position(list_transform(context_tags, lambda y: lower(trim(y))), lower(x)) = i) AS tags FROM manifest_entries WHERE context_tags IS NOT NULL AND NOT list_contains(list_transform(context_tags, lambda x: x IS NULL), true)")
 def q_distinct_tags(spark, d):
     rows = _t(spark, d, "manifest_entries").where("context_tags is not null and not exists(context_tags, x -> x is null)")
     return rows.select("line_no", scalars.distinct_ignoring_case(F.col("context_tags")).alias("tags"))
 
 
+@_query()
+def q_distinct_tags_all(spark, d):
+    """Every row's tags; null elements are no tags, a null list stays null. q_distinct_tags has the rows its SQL covers."""
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.distinct_ignoring_case(F.col("context_tags")).alias("tags"))
+
+
 # --- duplicates --------------------------------------------------------------------------------
 
 

@@ -114,3 +114,33 @@ def test_every_dimension_is_held_to_the_vocabulary(spark, tmp_path):
     got = sorted(tuple(r) for r in catalogue.QUERIES["q_vocabulary_dimensions"](spark, str(tmp_path)).collect())
     none = ("other", "other", "other", None)
     assert got == [(1, "film", "brick_loft", "film", "high"), (2, *none), (3, *none)]
+
+
+def test_titles_and_tags_of_all_rows(spark, tmp_path):
+    import re
+    from urllib.parse import unquote
+
+    from curatrix.plans import catalogue
+
+    titles = [None, "", "Winter\u00a0set\u00a0| Some site", "Winter set - Page\u00a03 of 9", "Salt\u00a0&\u00a0Linen,\u2003page\u20032", "a%20b%2Fc", "50% off", "100%25\u00a0x"]
+    tags = [None, [], [None], ["A", None, " a", "B"], [None, "b ", "B", ""], ["c"], ["C", "c", None], ["x"]]
+    rows = list(zip(range(len(titles)), titles, tags))
+    spark.createDataFrame(rows, "line_no long, context_title string, context_tags array<string>").write.parquet(str(tmp_path / "manifest_entries.parquet"))
+
+    def clean(t):
+        t = re.sub(r"(?i)\s*[-–|,]?\s*[\(\[]?\bpage\s+\d+.*$", "", re.sub(r"\s+\|[^|]*$", "", t))
+        return " ".join(t.split())
+
+    def name(t):
+        t = unquote(t) if not re.search("%(?![0-9A-Fa-f]{2})", t) else t
+        return re.sub(r"\s+", " ", re.sub(r'[\\/*?:"<>|]', "_", t)).strip(". ")[:40] or "item"
+
+    def distinct(xs):
+        return list({x.strip().lower(): x.strip() for x in reversed(xs) if x is not None and x.strip()}.values())[::-1]
+
+    got = lambda q: {r[0]: r[1] for r in catalogue.QUERIES[q](spark, str(tmp_path)).collect()}
+    assert got("q_clean_title_all") == {i: None if t is None else clean(t) for i, t, _ in rows}
+    assert got("q_sanitize_name_all") == {i: "item" if t is None else name(t) for i, t, _ in rows}
+    found = got("q_distinct_tags_all")
+    assert {i: x and sorted(x) for i, x in found.items()} == {i: x and sorted(distinct(x)) for i, _, x in rows}
+    assert found[3] == ["A", "B"] and found[4] == ["b"]
