@@ -114,8 +114,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_source_shares(spark: SparkSession, d: str) -> DataFrame:
-    """Share of cut texts per engine and manifest source, over the rows with a text."""
-    texts = _texts(spark, d)
+    """Share of cut texts per engine and manifest source, over the rows with a text that isn't blank, refusals included."""
+    texts = _texts(spark, d).where(F.regexp_like("text", F.lit(r"(?U)\S")))
     judged = texts.select("uid", F.lower(F.trim("source")).alias("source")).join(truncated(texts), "uid").withColumn("text_column", _text_column())
     return source_shares(judged, F.col("source"))
 

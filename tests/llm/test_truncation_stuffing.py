@@ -174,3 +174,13 @@ def test_long_page_in_sections():
     share, repeat, links, n = page_shares("lamp table chair " * 30_000)
     assert share == 1.0 and repeat > 0.9 and n == 90_000 and links == 0
     assert np.isfinite(share)
+
+
+def test_refusals_stay_in_the_base_of_shares(spark, tmp_path):
+    from curatrix.llm.queries import QUERIES
+
+    rows = [(1, "I cannot describe this image of a lamp in a room.", "E "), (2, "A lamp stands on the table by the,", "e"), (3, "  ", "e"), (4, None, "e"), (5, "", "e")]
+    spark.createDataFrame(rows, "caption_id long, caption_dense string, engine string").coalesce(1).write.parquet(str(tmp_path / "captions.parquet"))
+    spark.createDataFrame([(1, "I'm sorry, but this image can't be described by me.", "s")], "line_no long, caption_text string, source string").write.parquet(str(tmp_path / "manifest_entries.parquet"))
+    got = {(r.text_column, r.source): (r.texts, r.cut_texts, r.cut_share) for r in QUERIES["p5_source_shares"](spark, str(tmp_path)).collect()}
+    assert got == {("caption_dense", "e"): (2, 1, 0.5), ("caption_text", "s"): (1, 0, 0.0)}
