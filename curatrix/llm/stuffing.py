@@ -1,121 +1,120 @@
-"""Keyword-stuffed and link-list pages: repeated maximal substrings against clause structure."""
+"""Keyword-stuffed and link-list pages: repeated maximal substrings of each page outside its clauses."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Function words, the commonest of English, German, French and Spanish.
-FUNCTION_WORDS = {
-    "en": """a about after all also although am an and any are as at be because been before but by can could did do does even every for from had has have he her here his how i if
-        in into is it its just me more my no not of on one only or other our out over she should so some still such than that the their them then there these they this those
-        through to under until up was we were what when where which while who will with would you your""",
-    "de": """aber alle als am an auch auf aus bei bin bis da damit das dass dem den der des die dies diese dieser doch durch ein eine einem einen einer eines er es
-        für gegen hat hatte haben hier ich ihr ihre im in ist ja jemand jedes kann kein keine man mehr mein meine mich mir mit nach nicht noch nur ob oder ohne schon sein seine sich sie
-        sind so über um und uns unter vom von vor war warum waren was wegen weil wenn wer werden wie wir wird wo wurde wurden zu zum zur zwischen""",
-    "fr": """a ai ainsi alors après au aucun aussi autre aux avait avant avec c ce cela ces cet cette chez comme d dans de depuis des donc du elle elles en encore entre
-        est et été était il ils j je jusqu l la le les leur lui ma mais me même moi mon n ne ni nos notre nous on ont ou où par pas pendant plus pour qu quand que qui s sa sans se
-        ses si son sont sous sur ta très tu un une vers vos votre vous y""",
-    "es": """a al algo antes aquí así aun aunque cada casi como con cuando de del desde donde dos el él ella ellas en entre era eran es esa ese eso esta está estaba
-        están este esto fue fueron ha había han hasta hay la las le les lo los más me mi mientras mis mucho muy ni no nos nuestra o para pero por porque pues que quedan
-        quien se según ser si sido sin sobre solo son su sus también tan tiene todo tras tu un una uno y ya yo""",
-}
-_FUNCTION = frozenset(w for s in FUNCTION_WORDS.values() for w in s.split())
-#: The function words that also join noun phrases and keyword lists, so that they prove no clause.
-_WEAK = frozenset(
-    """a ai an and at by for from in into me my near no of on or our out over the to under up with your
-    am an auf aus bei das dem den der des die ein eine einem einen einer für im in mit nach ohne über um und von vor zu zum zur
-    à au aux avec chez d dans de des du en et l la le les ou par pas pour sans sous sur un une y
-    al con de del desde el en la las los más o para por que s sin sobre su tras un una y""".split()
-)
+from curatrix.session import cut_lineage
+
+#: A repeated run of words counts from so many occurrences that make up this share of the page's words.
+AT_LEAST, DENSITY = 3, 0.03
+#: A clause word stands in sentences of this share of all pages, at this multiple of the usual odds.
+DOC_SHARE, LIFT = 0.005, 0.75
+#: The share of clause words, outside repeats, from which a unit is a clause.
+CLAUSE_SHARE = 0.5
+#: Words of pages that a task counts before it empties its table.
+FLUSH_AT = 200_000
+
 _WORD = re.compile(r"[^\W_]+")
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
-_MARKUP = re.compile(r"<[^<>]{0,2000}>|&[a-z#0-9]{2,8};")
+_META = re.compile(r"<meta\b[^<>]*>")
+_CONTENT = re.compile(r"""\bcontent\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_MARKUP = re.compile(r"<[^<>]*>|&[a-z#0-9]{2,8};")
 _LINK = re.compile(
-    r"<a\b[^<>]*>[^<>]*</a>|<meta\b[^<>]*>|\[url=[^\[\]]*\][^\[\]]*\[/url\]|\[[^\[\]]{0,200}\]\((?:https?:|www\.)[^()\s]*\)"
-    r"|\b(?:https?://|www\.)\S+|\b[a-z0-9][a-z0-9-]*(?:\.[a-z0-9-]+)*\.[a-z]{2,12}/\S*|(?<!\w)#\w[\w'’&-]*(?:#[\w'’&-]+)*"
+    r"<a\b[^<>]*>[^<>]*</a>|\[url=[^\[\]]*\][^\[\]]*\[/url\]|\[[^\[\]]*\]\((?:https?:|www\.)[^()\s]*\)"
+    r"|\b(?:https?://|www\.)\S+|(?<![a-z0-9.-])[a-z0-9][a-z0-9-]*+(?:\.[a-z0-9-]++)*\.[a-z]{2,12}/\S*|#\w[\w'’&-]*"
 )
+#: What every link and tag contains; a page without it needs no closer look for them.
+_LINK_HINT = re.compile(r"://|www\.|<a\b|\[url=|\]\(|#\w|\.[a-z]{2,12}/")
 _UNIT = re.compile(r"(?P<stop>[.!?…])[\"'”»)]*(?:\s+|$)|[\n\r]+|\s[|>·•/;]\s")
-#: What every link, tag and metadata element contains; a page without it needs no closer look for them.
-_LINK_HINT = re.compile(r"://|www\.|<a\b|<meta\b|\[url=|\]\(|#\w|\.[a-z]{2,12}/")
-#: Words of a section that gets one automaton, which bounds the memory that a very long page takes.
-SECTION = 20_000
-_CHUNK = 30
+_SIGN = re.compile("(?P<word>[^\\W_]+)|(?P<link>\x00)|(?P<sign>[^\\s]|[\\n\\r]+)")
 
 
-def dense_words(words: list[str], content: list[bool], density: float, at_least: int) -> list[bool]:
-    """Which words lie in a repeated maximal substring that alone makes up ``density`` of the section.
+def covered(seq: list, dense: Callable[[int, int], bool]) -> list[bool]:
+    """Which places of ``seq`` lie in a repeated maximal substring that is ``dense`` (by length and occurrences).
 
-    Suffix automaton over the words: every state is a class of substrings with the same end positions,
-    its longest member a repeated right-maximal substring. A state is dense with ``at_least`` occurrences
-    whose words make up ``density`` of all, half of them content words. One walk over the section then
-    marks, at every end position, the longest dense substring on the suffix-link path.
+    Suffix automaton of the whole sequence: every state is a class of substrings with the same end
+    positions, its longest member a right-maximal substring. One walk over the sequence marks, at every end
+    position, the longest dense substring on the suffix-link path. A state's only transition stands in two
+    plain lists; a dict is made with its second one, so that even a very long page takes little memory.
     """
-    n = len(words)
-    nxt: list = [None] * (2 * n + 1)  # a state's transitions: a dict made with its first one
-    nxt[0] = {}
-    link, length, count, first = [-1] * (2 * n + 1), [0] * (2 * n + 1), [0] * (2 * n + 1), [0] * (2 * n + 1)
+    n = len(seq)
+    sym: list = [None] * (2 * n + 1)
+    to = [0] * (2 * n + 1)
+    more: list = [None] * (2 * n + 1)
+    link, length, count = [-1] * (2 * n + 1), [0] * (2 * n + 1), [0] * (2 * n + 1)
+    more[0] = {}
     last, size = 0, 1
-    for i, w in enumerate(words):
+    for i, w in enumerate(seq):
         cur = size
         size += 1
-        length[cur], count[cur], first[cur] = i + 1, 1, i
+        length[cur], count[cur] = i + 1, 1
         p = last
+        q = -1
         while p != -1:
-            t = nxt[p]
-            if t is None:
-                nxt[p] = {w: cur}
-            elif w in t:
+            t = more[p]
+            if t is not None:
+                if w in t:
+                    q = t[w]
+                    break
+                t[w] = cur
+            elif sym[p] is None:
+                sym[p], to[p] = w, cur
+            elif sym[p] == w:
+                q = to[p]
                 break
             else:
-                t[w] = cur
+                more[p] = {sym[p]: to[p], w: cur}
             p = link[p]
         if p == -1:
             link[cur] = 0
+        elif length[p] + 1 == length[q]:
+            link[cur] = q
         else:
-            q = nxt[p][w]
-            if length[p] + 1 == length[q]:
-                link[cur] = q
-            else:
-                clone = size
-                size += 1
-                nxt[clone] = nxt[q].copy() if nxt[q] is not None else None
-                link[clone], length[clone], first[clone] = link[q], length[p] + 1, first[q]
-                while p != -1 and nxt[p].get(w) == q:
-                    nxt[p][w] = clone
-                    p = link[p]
-                link[q] = link[cur] = clone
+            clone = size
+            size += 1
+            sym[clone], to[clone] = sym[q], to[q]
+            more[clone] = more[q].copy() if more[q] is not None else None
+            link[clone], length[clone] = link[q], length[p] + 1
+            while p != -1:
+                t = more[p]
+                if t is not None:
+                    if t.get(w) != q:
+                        break
+                    t[w] = clone
+                elif sym[p] == w and to[p] == q:
+                    to[p] = clone
+                else:
+                    break
+                p = link[p]
+            link[q] = link[cur] = clone
         last = cur
-    by_length: list[int] = [0] * (size - 1)  # states by length, a counting sort
-    at_length = [0] * (n + 2)
+    at_length = [0] * (n + 2)  # states by length, a counting sort
     for s in range(1, size):
         at_length[length[s] + 1] += 1
     for k in range(1, n + 2):
         at_length[k] += at_length[k - 1]
+    by_length = [0] * (size - 1)
     for s in range(1, size):
         k = length[s]
         by_length[at_length[k]] = s
         at_length[k] += 1
     for s in reversed(by_length):
         count[link[s]] += count[s]
-    upto = [0]
-    for c in content:
-        upto.append(upto[-1] + c)
     best = [0] * size
     for s in by_length:
-        k = length[s]
-        if count[s] >= at_least and k > 1 and count[s] * k >= density * n and 2 * (upto[first[s] + 1] - upto[first[s] + 1 - k]) >= k:
-            best[s] = k
-        else:
-            best[s] = best[link[s]]
+        best[s] = length[s] if dense(length[s], count[s]) else best[link[s]]
     marks = [0] * (n + 1)
     state = 0
-    for i, w in enumerate(words):
-        state = nxt[state][w]
+    for i, w in enumerate(seq):
+        t = more[state]
+        state = t[w] if t is not None else to[state]
         if b := best[state]:
             marks[i + 1 - b] += 1
             marks[i + 1] -= 1
@@ -126,101 +125,210 @@ def dense_words(words: list[str], content: list[bool], density: float, at_least:
     return out
 
 
-def _units(body: str) -> list[tuple[list[str], bool]]:
-    """Sentences, lines, menu entries and pieces of unpunctuated text as (words, closed by a stop)."""
-    units, at = [], 0
-    for m in [*_UNIT.finditer(body), None]:
-        words = _WORD.findall(body, at, m.start() if m else len(body))
-        while len(words) > _CHUNK + 10:
-            units.append((words[:_CHUNK], False))
-            words = words[_CHUNK:]
-        if words:
-            units.append((words, bool(m and m["stop"])))
-        if m:
-            at = m.end()
-    return units
-
-
-def page_shares(text: str, density: float = 0.02, at_least: int = 3) -> tuple[float, float, float, int]:
-    """(share without clause structure, covered by dense repeats, in links; words outside links) of a whole page.
-
-    A unit is a clause if function words outside dense repeats hold it together, or if it is a closed
-    sentence without repetition inside; short list entries and unpunctuated stretches also need a word
-    that only clauses have (a pronoun, an auxiliary, a conjunction). Links, tags and keyword metadata
-    count as text without clauses.
+def repeated_words(words: list[str], density: float = DENSITY, at_least: int = AT_LEAST) -> list[bool]:
+    """Which words lie in a repeated maximal substring of two words or more with ``at_least`` occurrences that
+    make up ``density`` of the page.
+
+    All pairs of neighbours of such a substring occur ``at_least`` times, so stretches without such a pair
+    are one unique symbol in the automaton; the result is that of the whole sequence.
     """
-    low = _INVISIBLE.sub("", text).lower()
-    linked = 0
+    n = len(words)
+    pairs = Counter(zip(words, words[1:]))
+    often = [pairs[p] >= at_least for p in zip(words, words[1:])]
+    if True not in often:
+        return [False] * n
+    ids: dict[str, int] = {}
+    seq: list[int] = []
+    place: list[int] = []
+    gap = 0
+    for i, w in enumerate(words):
+        before, after = i > 0 and often[i - 1], i < n - 1 and often[i]
+        if not before:  # nothing dense goes across: -1, -2 and so on occur once each
+            gap -= 1
+            seq.append(gap)
+            place.append(-1)
+        if before or after:
+            seq.append(ids.setdefault(w, len(ids)))
+            place.append(i)
+    out = [False] * n
+    for i, c in zip(place, covered(seq, lambda k, c: c >= at_least and k > 1 and c * k >= density * n)):
+        if i >= 0:
+            out[i] = c
+    return out
+
+
+def _body(text: str) -> tuple[str, list[int]]:
+    """The page in lower case with a NUL for every link or tag, and their lengths; keyword metadata as text."""
+    low = _INVISIBLE.sub("", text).lower().replace("\x00", " ")
+    if "<meta" in low:
+        low = _META.sub(lambda m: "\n" + ", ".join("".join(g) for g in _CONTENT.findall(m.group())) + "\n", low)
+    links: list[int] = []
 
     def cut(m: re.Match) -> str:
-        nonlocal linked
-        linked += m.end() - m.start()
-        return "\n"
+        links.append(m.end() - m.start())
+        return " \x00 "
 
     body = _LINK.sub(cut, low) if _LINK_HINT.search(low) else low
     if "<" in body or "&" in body:
         body = _MARKUP.sub(" ", body)
+    return body, links
+
+
+def _units(body: str) -> list[tuple[int, int, list[str], bool]]:
+    """Sentences, lines and menu entries: (from, to, words, closed by a stop)."""
+    out, at = [], 0
+    for m in _UNIT.finditer(body):
+        out.append((at, m.end(), _WORD.findall(body, at, m.start()), m["stop"] is not None))
+        at = m.end()
+    if at < len(body):
+        out.append((at, len(body), _WORD.findall(body, at), False))
+    return out
+
+
+def page_shares(text: str, clause_words: frozenset[str]) -> tuple[float, float, float, float, int]:
+    """(listed, without clauses, in repeated words, in links; words outside links) of a whole page, shares of characters.
+
+    A unit is a clause if CLAUSE_SHARE of its words are clause words that no dense repeat covers, or if it
+    is a closed sentence of eight words or more, four fifths of them clause words, that doesn't repeat
+    itself. All other units go, as kinds of words, numbers, links and signs, into a second automaton; its
+    repeated maximal substrings are the page's list structure. Listed are the characters outside clauses
+    that repeats of the words or of that structure cover: what repeats nothing is no list, however few
+    clause words it has, so a title or a fragment isn't reported.
+    """
+    body, links = _body(text)
     units = _units(body)
-    words = [w for u, _ in units for w in u]
-    if not words:
-        return (1.0, 0.0, 1.0, 0) if linked else (0.0, 0.0, 0.0, 0)
-    function = [w in _FUNCTION for w in words]
-    covered: list[bool] = []
-    for at in range(0, len(words), SECTION):
-        covered += dense_words(words[at : at + SECTION], [not f for f in function[at : at + SECTION]], density, at_least)
-    good = bad = dense = k = 0
-    for u, closed in units:
+    words = [w for u in units for w in u[2]]
+    if not words and not links:
+        return 0.0, 0.0, 0.0, 0.0, 0
+    packed = repeated_words(words)
+    good = k = at_link = 0
+    kinds: list = []
+    chars: list[int] = []
+    for start, end, u, closed in units:
         n = len(u)
-        fw, cov = function[k : k + n], covered[k : k + n]
+        cov = packed[k : k + n]
         k += n
-        chars = sum(map(len, u)) + n
-        functions, packed = sum(fw), sum(cov)
-        if packed:
-            dense += sum(len(w) + 1 for w, c in zip(u, cov) if c)
-            free = sum(f and not c for f, c in zip(fw, cov)) / n
-        else:
-            free = functions / n
-        share, packed = functions / n, packed / n
-        content = [w for w, f in zip(u, fw) if not f]
-        again = 1 - len(set(content)) / len(content) if content else 0.0
-        clause = n >= 3 and (free >= 0.15 and again < 0.3 or share >= 0.25 and again < 0.2 and closed and (packed < 0.9 or n >= 8))
-        if clause and not closed and (n < 7 or n >= 20):
-            varied = n >= 20 and share >= 0.3 and again < 0.1 and packed < 0.1
-            clause = varied or any(f and w not in _WEAK for w, f in zip(u, fw))
+        clause = False
+        if n >= 3:
+            known = [w in clause_words for w in u]
+            free = sum(a and not b for a, b in zip(known, cov)) if True in cov else sum(known)
+            clause = free >= CLAUSE_SHARE * n or (closed and n >= 8 and sum(known) >= 0.8 * n and len(set(u)) > 0.8 * n)
         if clause:
-            good += chars
-        else:
-            bad += chars
-    total = linked + good + bad
-    return (linked + bad) / total, dense / total, linked / total, len(words)
+            good += sum(map(len, u)) + n
+            inner = body.count("\x00", start, end) if links else 0
+            kinds += [True] * inner
+            chars += links[at_link : at_link + inner]
+            at_link += inner
+            kinds.append(len(kinds))  # a break: no other place has the same
+            chars.append(0)
+            continue
+        at = 0
+        for m in _SIGN.finditer(body, start, end):
+            if m["word"]:
+                w = m["word"]
+                kinds.append("r" if cov[at : at + 1] == [True] else "n" if w.isdigit() else "w")
+                chars.append(len(w) + 1)
+                at += 1
+            elif m["link"]:
+                kinds.append(True)
+                chars.append(links[at_link])
+                at_link += 1
+            else:
+                kinds.append("\n" if m["sign"] in "\r\n" else m["sign"][0])
+                chars.append(0)
+    kinds = ["link" if x is True else x for x in kinds]
+    shaped = covered(kinds, lambda length, c: c >= AT_LEAST and length > 1)
+    listed = sum(c for c, s, x in zip(chars, shaped, kinds) if s or x == "r")
+    total = good + sum(chars)
+    repeated = sum(len(w) + 1 for w, c in zip(words, packed) if c) if True in packed else 0
+    return listed / total, (total - good) / total, repeated / total, sum(links) / total, len(words)
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, pages with it in sentences, pages with it elsewhere), combined per task; the null word counts pages."""
+    inside, outside = Counter(), Counter()
+    pages = 0
+
+    def emit() -> pa.RecordBatch:
+        keys = [*(inside.keys() | outside.keys()), None]
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.string()), pa.array([inside[w] if w is not None else pages for w in keys], pa.int64()), pa.array([outside[w] if w is not None else 0 for w in keys], pa.int64())],
+            names=["word", "inside", "outside"],
+        )
+        inside.clear()
+        outside.clear()
+        return out
+
     for batch in batches:
-        scores = [(None,) * 4 if t is None else page_shares(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-        kinds = (pa.float64(), pa.float64(), pa.float64(), pa.int64())
-        added = [pa.array([s[i] for s in scores], kinds[i]) for i in range(4)]
-        names = [*batch.schema.names[:-1], "no_clause_share", "repeat_share", "link_share", "n_words"]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=names)
+        for text in batch.column(0).to_pylist():
+            units = _units(_body(text)[0]) if text else []
+            words = [w for u in units for w in u[2]]
+            if not words:
+                continue
+            pages += 1
+            pairs = Counter(zip(words, words[1:]))
+            many = max(AT_LEAST, 0.02 * len(words))
+            sentences, rest = set(), set()
+            for _, _, u, closed in units:
+                proper = closed and len(u) >= 6 and len(set(u)) >= 0.7 * len(u) and sum(pairs[p] >= many for p in zip(u, u[1:])) <= 0.2 * len(u)
+                (sentences if proper else rest).update(u)
+            inside.update(sentences)
+            outside.update(rest)
+        if len(inside) + len(outside) >= FLUSH_AT:
+            yield emit()
+            pages = 0
+    yield emit()
+
+
+def learned_clause_words(df: DataFrame, text: str, doc_share: float = DOC_SHARE, lift: float = LIFT, max_words: int = 500_000) -> frozenset[str]:
+    """The words that hold sentences together in this collection, by one aggregation over all its pages.
+
+    A sentence here is a unit of six words or more closed by a stop that repeats neither itself nor the
+    page. A word is a clause word if it stands in sentences of ``doc_share`` of all pages and its odds of
+    standing in one are at least ``lift`` times those of all words together. Words of keyword lists,
+    products and menus have low odds in any language. At most (mean distinct words a page / ``doc_share``)
+    words can pass, so the set does not grow with the number of pages; more than ``max_words`` is an error.
+    """
+    counts = df.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").isNotNull()).mapInArrow(_evidence, "word string, inside long, outside long")
+    table = cut_lineage(counts.groupBy("word").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")))
+    word = F.col("word").isNotNull()
+    pages, inside, outside = table.agg(F.sum(F.when(~word, F.col("inside"))), F.sum(F.when(word, F.col("inside"))), F.sum(F.when(word, F.col("outside")))).first()
+    if not pages or not inside:
+        return frozenset()
+    odds = inside / max(outside or 0, 1)
+    kept = table.where(word & (F.col("inside") >= doc_share * pages) & (F.col("inside") >= lift * odds * F.col("outside"))).select("word")
+    found = kept.limit(max_words + 1).toArrow()["word"].to_pylist()
+    if len(found) > max_words:
+        raise ValueError(f"more than {max_words} clause words: raise doc_share")
+    return frozenset(found)
 
 
-def page_scores(df: DataFrame, ident: str, text: str) -> DataFrame:
-    """(ident, no_clause_share, repeat_share, link_share, n_words) of every row; no shuffle, whole texts.
+def page_scores(df: DataFrame, ident: str, text: str, clause_words: frozenset[str] | None = None) -> DataFrame:
+    """(ident, listed_share, no_clause_share, repeat_share, link_share, n_words) of every row; whole texts.
 
-    A null text has null shares; an empty one 0. Repeated rows are scored each.
+    ``clause_words`` defaults to those learned from ``df`` itself (one job, run here); they are broadcast, a
+    set whose size learned_clause_words bounds. A null text has null shares; an empty one 0. Repeated rows
+    are scored each. The scoring itself needs no shuffle.
     """
+    learned = clause_words if clause_words is not None else learned_clause_words(df, text)
+    held = df.sparkSession.sparkContext.broadcast(learned)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [(None,) * 5 if t is None else page_shares(t, held.value) for t in batch.column(1).to_pylist()]
+            kinds = (pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
+            added = [pa.array([s[i] for s in scores], kinds[i]) for i in range(5)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *added], names=[batch.schema.names[0], "listed_share", "no_clause_share", "repeat_share", "link_share", "n_words"])
+
     kind = df.schema[ident].dataType.simpleString()
     return df.select(F.col(f"`{ident}`"), F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(
-        _scored, f"`{ident}` {kind}, no_clause_share double, repeat_share double, link_share double, n_words long"
+        scored, f"`{ident}` {kind}, listed_share double, no_clause_share double, repeat_share double, link_share double, n_words long"
     )
 
 
-def stuffed_pages(df: DataFrame, ident: str, text: str, above: float = 0.5, least_words: int = 12) -> DataFrame:
-    """The scored rows most of whose text is keywords, links, tags, menus or bare lists.
+def stuffed_pages(df: DataFrame, ident: str, text: str, above: float = 0.5, clause_words: frozenset[str] | None = None) -> DataFrame:
+    """The scored rows most of whose text is listed: repeats of words or of list structure outside clauses.
 
-    ``above``: the share of text without clause structure from which a page is reported. A page of fewer
-    than ``least_words`` words is too short to tell by words alone and is reported only if most of it is
-    links or tags.
+    ``above``: the share of listed characters from which a page is reported. One rule for pages of any length.
     """
-    scored = page_scores(df, ident, text)
-    return scored.where((F.col("no_clause_share") > above) & ((F.col("n_words") >= least_words) | (F.col("link_share") > above)))
+    return page_scores(df, ident, text, clause_words).where(F.col("listed_share") > above)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from curatrix.llm import truncation as T
-from curatrix.llm.stuffing import dense_words, page_scores, page_shares, stuffed_pages
+from curatrix.llm import stuffing
+from curatrix.llm.stuffing import learned_clause_words, page_scores, page_shares, repeated_words, stuffed_pages
 from curatrix.llm.wordhash import text_chunks, words_of
 
 
@@ -124,27 +125,26 @@ def test_candidates_agree_with_brute_force_in_split_buckets(spark, monkeypatch):
     assert got == want and len(want) > 200
 
 
-def brute_dense(words_, content, density, at_least):
+def brute_repeats(words_, density, at_least):
     n, out = len(words_), [False] * len(words_)
     for k in range(2, n + 1):
         for i in range(n - k + 1):
             sub = words_[i : i + k]
             at = [j for j in range(n - k + 1) if words_[j : j + k] == sub]
-            if len(at) >= at_least and len(at) * k >= density * n and 2 * sum(content[i : i + k]) >= k:
+            if len(at) >= at_least and len(at) * k >= density * n:
                 for p in range(i, i + k):
                     out[p] = True
     return out
 
 
-def test_automaton_covers_no_more_than_brute_force():
+def test_automaton_against_brute_force():
     rng = random.Random(4)
-    for _ in range(40):
-        w = [rng.choice("abcd") for _ in range(rng.randrange(1, 30))]
-        content = [x != "a" for x in w]
-        got, want = dense_words(w, content, 0.1, 3), brute_dense(w, content, 0.1, 3)
-        assert all(b or not a for a, b in zip(got, want))
-        all_content = [True] * len(w)
-        assert dense_words(w, all_content, 0.0, 2) == brute_dense(w, all_content, 0.0, 2)
+    for _ in range(120):
+        w = [rng.choice("abcdefgh"[: rng.randrange(1, 9)]) for _ in range(rng.randrange(0, 40))]
+        for density, at_least in ((0.1, 3), (0.0, 2), (0.3, 3)):
+            got, want = repeated_words(w, density, at_least), brute_repeats(w, density, at_least)
+            # The longest dense substring at an end is marked; shorter ones within it add nothing.
+            assert got == want, (w, density, at_least)
 
 
 SPAM = [
@@ -153,27 +153,61 @@ SPAM = [
     "#freepresets #cheaplens " * 20,
     "Home | Login | Register | New sets | Contact | FAQ | Top 100 | Archive | Galleries | Next | Last | Tags | Help",
     "Buy camera lens here, buy camera lens there, buy camera lens in Graz. Looking for buy camera lens? Our buy camera lens beats every buy camera lens. " * 3,
+    '<META NAME="keywords" CONTENT="cheap softbox, ring light, canvas prints, tripod coupon, cheap softbox, drone rental">',
+    "Tripod T40\nC-stand\nSandbag 7kg\nFilm holder\nSync cable\nSoftbox 60cm\nGrey card\nShutter release",
+    "lamp table chair " * 30_000,
 ]
 PROSE = [
     "The room was empty apart from a lamp, and the light fell on the floor. She looked at the table while he waited by the door. Nothing else was to be seen there.",
     "1. Open the file before you remove it.\n2. Check that the caption is not empty.\n3. Ask a third reader if you disagree about it.\n4. Write down what you have changed in the log.",
     "Das Bild zeigt einen Uhrmacher in einem engen Treppenhaus. Bitte nichts ohne Nennung der Fotografin weitergeben, auch wenn es nur ein Ausschnitt ist. Tags: licht, raum",
+    "See the notes at https://notes.example/a/1 before you ask. The second part of the work was done by hand and nobody has checked it so far. https://notes.example/a/2",
     "",
+    "Portrait lens",
 ]
 
 
 def test_stuffed_pages(spark):
-    rows = [(i, t) for i, t in enumerate(SPAM)] + [(100 + i, t) for i, t in enumerate(PROSE)] + [(200, None), (201, SPAM[0]), (202, "Portrait lens"), (203, "The cat sat on the mat and it was not glad. " * 20_000)]
+    rows = [(i, t) for i, t in enumerate(SPAM)] + [(100 + i, t) for i, t in enumerate(PROSE)] + [(200, None), (201, SPAM[0]), (202, "The cat that we saw on the mat was not glad about it at all. " * 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id for r in stuffed_pages(df, "doc_id", "text").collect()} == {0, 1, 2, 3, 4, 201}
-    assert {r.doc_id: r.no_clause_share for r in page_scores(df, "doc_id", "text").collect()}[200] is None
+    assert {r.doc_id for r in stuffed_pages(df, "doc_id", "text").collect()} == {*range(len(SPAM)), 201}
+    scores = {r.doc_id: r for r in page_scores(df, "doc_id", "text").collect()}
+    assert scores[200].listed_share is None and scores[104].listed_share == 0.0 and len(scores) == len(rows)
     assert stuffed_pages(df.limit(0), "doc_id", "text").count() == 0
-
-
-def test_long_page_in_sections():
-    share, repeat, links, n = page_shares("lamp table chair " * 30_000)
-    assert share == 1.0 and repeat > 0.9 and n == 90_000 and links == 0
-    assert np.isfinite(share)
+    clashing = df.withColumns({"listed_share": F.lit(1), "word": F.lit("x"), "__text": F.lit("y"), "link_share": F.lit(0)})
+    assert {r.doc_id for r in stuffed_pages(clashing, "doc_id", "text").collect()} == {*range(len(SPAM)), 201}
+
+
+def test_clause_words_come_from_sentences(spark):
+    prose = [f"The {a} that we saw in the {b} was not lit by any of the lamps." for a in ("room", "hall", "shed", "yard") for b in ("north", "south", "east")]
+    lists = ["softbox | tripod | backdrop | presets | softbox room | hall", "tripod, softbox, backdrop"] * 6
+    got = learned_clause_words(spark.createDataFrame([(t,) for t in [*prose, *lists, None, ""]], "text string"), "text")
+    assert {"the", "that", "we", "was", "not", "any"} <= got and not {"softbox", "tripod", "backdrop", "presets"} & got
+    assert learned_clause_words(spark.createDataFrame([], "text string"), "text") == frozenset()
+    # Languages without a word list of ours: the words are learned all the same.
+    dutch = [f"De {a} die wij in de {b} zagen was door geen van de lampen verlicht." for a in ("kamer", "hal", "schuur") for b in ("tuin", "straat")]
+    assert {"die", "wij", "geen"} <= learned_clause_words(spark.createDataFrame([(t,) for t in dutch], "text string"), "text")
+
+
+def test_repeats_decide(monkeypatch):
+    """Without the automaton's marks nothing is reported; without clause words only repeats are."""
+    known = frozenset("the was and of to that we it is not a in by".split())
+    assert all(page_shares(t, known)[0] > 0.5 for t in SPAM)
+    monkeypatch.setattr(stuffing, "covered", lambda seq, dense: [False] * len(seq))
+    assert not any(page_shares(t, known)[0] > 0.5 for t in SPAM)
+
+
+def test_one_rule_for_any_length():
+    rng = random.Random(8)
+    block = [f"k{i}" for i in range(300)]
+    words_ = []
+    for k in range(3):  # a block that stands three times, far apart
+        words_ += [f"w{rng.randrange(10**9)}" for _ in range(9_000)] + block
+    got = repeated_words(words_)
+    at = [i for i, w in enumerate(words_) if w.startswith("k")]
+    assert all(got[i] for i in at) and sum(got) == len(at)
+    share, _, repeat, links, n = page_shares("lamp table chair " * 30_000, frozenset())
+    assert share == 1.0 and repeat > 0.9 and n == 90_000 and links == 0 and np.isfinite(share)
 
 
 def test_refusals_stay_in_the_base_of_shares(spark, tmp_path):
