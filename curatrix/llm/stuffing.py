@@ -32,7 +32,8 @@ _LINK = re.compile(
 )
 #: What every link and tag contains; a page without it needs no closer look for them.
 _LINK_HINT = re.compile(r"://|www\.|<a\b|\[url=|\]\(|#\w|\.[a-z]{2,12}/")
-_UNIT = re.compile(r"(?P<stop>[.!?…])[\"'”»)]*(?:\s+|$)|[\n\r]+|\s[|>·•/;]\s")
+#: Ends of units; the leading set of characters lets the search skip all others.
+_UNIT = re.compile(r"[.!?…\n\r|>·•/;](?:(?<=[.!?…])[\"'”»)]*(?:\s+|$)|(?<=[\n\r])[\n\r]*|(?<=\s[|>·•/;])\s)")
 _SIGN = re.compile("(?P<word>[^\\W_]+)|(?P<link>\x00)|(?P<sign>[^\\s]|[\\n\\r]+)")
 
 
@@ -125,7 +126,12 @@ def covered(seq: list, dense: Callable[[int, int], bool]) -> list[bool]:
     return out
 
 
-def repeated_words(words: list[str], density: float = DENSITY, at_least: int = AT_LEAST) -> list[bool]:
+def frequent_pairs(words: list[str], at_least: float = AT_LEAST) -> set[tuple[str, str]]:
+    """The pairs of neighbours that occur ``at_least`` times."""
+    return {p for p, c in Counter(zip(words, words[1:])).items() if c >= at_least}
+
+
+def repeated_words(words: list[str], density: float = DENSITY, at_least: int = AT_LEAST, often: set[tuple[str, str]] | None = None) -> list[bool]:
     """Which words lie in a repeated maximal substring of two words or more with ``at_least`` occurrences that
     make up ``density`` of the page.
 
@@ -133,23 +139,22 @@ def repeated_words(words: list[str], density: float = DENSITY, at_least: int = A
     are one unique symbol in the automaton; the result is that of the whole sequence.
     """
     n = len(words)
-    pairs = Counter(zip(words, words[1:]))
-    often = [pairs[p] >= at_least for p in zip(words, words[1:])]
-    if True not in often:
+    if often is None:
+        often = frequent_pairs(words, at_least)
+    if not often:
         return [False] * n
     ids: dict[str, int] = {}
     seq: list[int] = []
     place: list[int] = []
-    gap = 0
-    for i, w in enumerate(words):
-        before, after = i > 0 and often[i - 1], i < n - 1 and often[i]
-        if not before:  # nothing dense goes across: -1, -2 and so on occur once each
-            gap -= 1
-            seq.append(gap)
-            place.append(-1)
-        if before or after:
-            seq.append(ids.setdefault(w, len(ids)))
-            place.append(i)
+    past = 0  # the place after the last one taken
+    for i, p in enumerate(zip(words, words[1:])):
+        if p in often:
+            if i >= past:  # a new stretch; nothing dense goes across: -1, -2 and so on occur once each
+                seq += (-1 - len(seq), ids.setdefault(p[0], len(ids)))
+                place += (-1, i)
+            seq.append(ids.setdefault(p[1], len(ids)))
+            place.append(i + 1)
+            past = i + 2
     out = [False] * n
     for i, c in zip(place, covered(seq, lambda k, c: c >= at_least and k > 1 and c * k >= density * n)):
         if i >= 0:
@@ -178,14 +183,14 @@ def _units(body: str) -> list[tuple[int, int, list[str], bool]]:
     """Sentences, lines and menu entries: (from, to, words, closed by a stop)."""
     out, at = [], 0
     for m in _UNIT.finditer(body):
-        out.append((at, m.end(), _WORD.findall(body, at, m.start()), m["stop"] is not None))
+        out.append((at, m.end(), _WORD.findall(body, at, m.start()), body[m.start()] in ".!?…"))
         at = m.end()
     if at < len(body):
         out.append((at, len(body), _WORD.findall(body, at), False))
     return out
 
 
-def page_shares(text: str, clause_words: frozenset[str]) -> tuple[float, float, float, float, int]:
+def page_shares(text: str, clause_words: frozenset[str], above: float = -1.0) -> tuple[float, float, float, float, int] | None:
     """(listed, without clauses, in repeated words, in links; words outside links) of a whole page, shares of characters.
 
     A unit is a clause if CLAUSE_SHARE of its words are clause words that no dense repeat covers, or if it
@@ -199,18 +204,37 @@ def page_shares(text: str, clause_words: frozenset[str]) -> tuple[float, float,
     units = _units(body)
     words = [w for u in units for w in u[2]]
     if not words and not links:
-        return 0.0, 0.0, 0.0, 0.0, 0
-    packed = repeated_words(words)
+        return (0.0, 0.0, 0.0, 0.0, 0) if above < 0 else None
+    often = frequent_pairs(words)
+    clause_like = [[w in clause_words for w in u[2]] for u in units]
+    if above >= 0:
+        most = total = sum(links)
+        k = 0
+        for (_, _, u, _), known in zip(units, clause_like):
+            n = len(u)
+            size = sum(map(len, u)) + n
+            total += size
+            sure = sum(known)
+            if often and n >= 3 and sure >= CLAUSE_SHARE * n:  # a repeat covers words of frequent pairs only
+                pairs = [p in often for p in zip(words[max(0, k - 1) : k + n], words[max(1, k) : k + n + 1])]
+                if True in pairs:
+                    pairs = [False, *pairs, False] if k == 0 else [*pairs, False]
+                    sure = sum(w and not x and not y for w, x, y in zip(known, pairs, pairs[1:]))
+            if n < 3 or sure < CLAUSE_SHARE * n:
+                most += size
+            k += n
+        if most <= above * total:
+            return None
+    packed = repeated_words(words, often=often)
     good = k = at_link = 0
     kinds: list = []
     chars: list[int] = []
-    for start, end, u, closed in units:
+    for (start, end, u, closed), known in zip(units, clause_like):
         n = len(u)
         cov = packed[k : k + n]
         k += n
         clause = False
         if n >= 3:
-            known = [w in clause_words for w in u]
             free = sum(a and not b for a, b in zip(known, cov)) if True in cov else sum(known)
             clause = free >= CLAUSE_SHARE * n or (closed and n >= 8 and sum(known) >= 0.8 * n and len(set(u)) > 0.8 * n)
         if clause:
@@ -266,11 +290,11 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not words:
                 continue
             pages += 1
-            pairs = Counter(zip(words, words[1:]))
             many = max(AT_LEAST, 0.02 * len(words))
+            often = frequent_pairs(words, many)
             sentences, rest = set(), set()
             for _, _, u, closed in units:
-                proper = closed and len(u) >= 6 and len(set(u)) >= 0.7 * len(u) and sum(pairs[p] >= many for p in zip(u, u[1:])) <= 0.2 * len(u)
+                proper = closed and len(u) >= 6 and len(set(u)) >= 0.7 * len(u) and (not often or sum(p in often for p in zip(u, u[1:])) <= 0.2 * len(u))
                 (sentences if proper else rest).update(u)
             inside.update(sentences)
             outside.update(rest)
@@ -303,32 +327,39 @@ def learned_clause_words(df: DataFrame, text: str, doc_share: float = DOC_SHARE,
     return frozenset(found)
 
 
-def page_scores(df: DataFrame, ident: str, text: str, clause_words: frozenset[str] | None = None) -> DataFrame:
-    """(ident, listed_share, no_clause_share, repeat_share, link_share, n_words) of every row; whole texts.
-
-    ``clause_words`` defaults to those learned from ``df`` itself (one job, run here); they are broadcast, a
-    set whose size learned_clause_words bounds. A null text has null shares; an empty one 0. Repeated rows
-    are scored each. The scoring itself needs no shuffle.
-    """
+def _scored(df: DataFrame, ident: str, text: str, clause_words: frozenset[str] | None, above: float) -> DataFrame:
     learned = clause_words if clause_words is not None else learned_clause_words(df, text)
     held = df.sparkSession.sparkContext.broadcast(learned)
+    names = ["listed_share", "no_clause_share", "repeat_share", "link_share", "n_words"]
+    kinds = (pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [(None,) * 5 if t is None else page_shares(t, held.value) for t in batch.column(1).to_pylist()]
-            kinds = (pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
-            added = [pa.array([s[i] for s in scores], kinds[i]) for i in range(5)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *added], names=[batch.schema.names[0], "listed_share", "no_clause_share", "repeat_share", "link_share", "n_words"])
+            scores = [None if t is None else page_shares(t, held.value, above) for t in batch.column(1).to_pylist()]
+            keep = [i for i, s in enumerate(scores) if above < 0 or (s is not None and s[0] > above)]
+            added = [pa.array([scores[i][j] if scores[i] is not None else None for i in keep], kinds[j]) for j in range(5)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), *added], names=[batch.schema.names[0], *names])
 
     kind = df.schema[ident].dataType.simpleString()
     return df.select(F.col(f"`{ident}`"), F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(
-        scored, f"`{ident}` {kind}, listed_share double, no_clause_share double, repeat_share double, link_share double, n_words long"
+        run, f"`{ident}` {kind}, listed_share double, no_clause_share double, repeat_share double, link_share double, n_words long"
     )
 
 
+def page_scores(df: DataFrame, ident: str, text: str, clause_words: frozenset[str] | None = None) -> DataFrame:
+    """(ident, listed_share, no_clause_share, repeat_share, link_share, n_words) of every row; whole texts.
+
+    ``clause_words`` defaults to those learned from ``df`` itself (one job, run here); they are broadcast, a
+    set whose size learned_clause_words bounds. A null text has null shares; an empty one 0. Repeated rows
+    are scored each. The scoring itself needs no shuffle.
+    """
+    return _scored(df, ident, text, clause_words, -1.0)
+
+
 def stuffed_pages(df: DataFrame, ident: str, text: str, above: float = 0.5, clause_words: frozenset[str] | None = None) -> DataFrame:
-    """The scored rows most of whose text is listed: repeats of words or of list structure outside clauses.
+    """The page_scores rows most of whose text is listed: repeats of words or of list structure outside clauses.
 
-    ``above``: the share of listed characters from which a page is reported. One rule for pages of any length.
+    ``above``: the share of listed characters from which a page is reported. One rule for pages of any
+    length; no automaton is built for a page that a bound already rules out.
     """
-    return page_scores(df, ident, text, clause_words).where(F.col("listed_share") > above)
+    return _scored(df, ident, text, clause_words, above)
