@@ -109,20 +109,78 @@ def test_every_longer_text_of_a_bucket_is_tried(spark):
     assert got[2] == got[5] == (True, "aligned") and got[1] == (False, "aligned") and got[7] == (True, "aligned")
 
 
-def test_candidates_agree_with_brute_force_in_split_buckets(spark, monkeypatch):
-    rng = random.Random(5)
-    base = [f"w{i}" for i in range(60)]
-    texts = [" ".join(base[: rng.randrange(40, 60)] + [f"x{rng.randrange(30)}" for _ in range(rng.randrange(3))]) for _ in range(60)]
-    df = spark.createDataFrame(list(enumerate(texts)), "uid long, text string").select("uid", "text", F.xxhash64("text").alias("copy"))
-    features = T.cut_lineage(df.mapInArrow(T._features, "uid long, copy long, state int, n_words int, shingles int, words long, closes array<long>, before array<long>, bands array<long>"))
-    monkeypatch.setattr(T, "BUCKET_PART", 7)
-    got = {tuple(r) for r in T.candidate_pairs(features).collect()}
-    bands = {r.uid: r.bands for r in features.collect()}
-    first = [i for i, t in enumerate(texts) if texts.index(t) == i]
-    parts = {i: t.split() for i, t in enumerate(texts)}
-    size = {i: len({tuple(w[j : j + 5]) for j in range(len(w) - 4)}) for i, w in parts.items()}
-    want = {(a, b) for a in first for b in first if len(parts[a]) < len(parts[b]) and size[a] + 2 >= 0.8 * size[b] and any(x == y for x, y in zip(bands[a], bands[b]))}
-    assert got == want and len(want) > 200
+def pairs_by_brute_force(texts):
+    out = {}
+    for a in texts:
+        verdicts = [v for b in texts if b != a and (v := T.align(a, b)) is not None]
+        if verdicts:
+            out[a] = max(verdicts)
+    return out
+
+
+def near_copies(rng, groups, size):
+    """Groups of texts of one origin with words changed, cut at all kinds of places."""
+    texts = []
+    for g in range(groups):
+        base = [f"g{g}w{rng.randrange(400)}" for _ in range(60)]
+        for i in range(9, 60, 10):
+            base[i] += "."
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.randrange(2)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(1000)}"
+            t = " ".join(w)
+            texts.append(t[: rng.randrange(len(t) // 3, len(t) + 1)].rstrip() if rng.random() < 0.7 else t)
+    return texts
+
+
+def test_pair_recall_against_brute_force(spark):
+    texts = near_copies(random.Random(5), 12, 14)
+    texts += texts[:20]
+    df = spark.createDataFrame(list(enumerate(texts)), "uid long, text string")
+    got = {texts[r.uid]: r.cut for r in T.truncated(df.repartition(3)).collect() if r.how == "aligned"}
+    want = {t: v for t, v in pairs_by_brute_force(set(texts)).items() if len(t.split()) > T.FIRST_WINDOW}
+    assert len(want) > 80
+    assert set(got) <= set(want) and len(got) >= 0.95 * len(want)
+    assert sum(got[t] == (want[t] == 1) for t in got) >= 0.97 * len(got)
+
+
+def test_a_crowd_at_one_place_is_compared_as_a_whole(spark):
+    """Where none of a place's representatives aligns, all of its other members are tried."""
+    opening = [f"word{i}" for i in range(60)]
+    rng = random.Random(3)
+    far = []
+    for k in range(30):  # share the closing words and some bands, but too few shingles
+        w = list(opening)
+        for i in range(1, 50, 9):
+            w[i] = f"other{rng.randrange(10**6)}"
+        far.append(" ".join([*w, "and goes on here."]))
+    cut = " ".join(opening[:59])
+    rows = [(k, t) for k, t in enumerate(far[:15])] + [(100, " ".join([*opening, "and goes on here."]))] + [(200 + k, t) for k, t in enumerate(far[15:])] + [(50, cut)]
+    got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame(rows, "uid long, text string")).collect()}
+    assert got[50] == (True, "aligned")
+
+
+def test_cut_inside_the_last_word(spark):
+    whole = " ".join(f"word{i} stands beside item{i}" for i in range(30)) + " in the garden"
+    got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame([(1, whole), (2, whole[:-3])], "uid long, text string")).collect()}
+    assert got[2] == (True, "aligned") and got[1][1] == "words"
+
+
+def test_marks_are_judged_by_what_follows_their_sign(spark):
+    texts = [f"The {a} stands by the {b}, and the {c} is lit - or so it seems." for a in ("lamp", "chair", "vase") for b in ("wall", "door") for c in ("floor", "room", "hall", "yard")]
+    rows = [*enumerate(texts), (500, "A quiet corner of the studio,"), (501, "A quiet corner of the studio"), (502, "A corner of the s\ufffd")]
+    got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame(rows, "uid long, text string")).collect()}
+    assert got[500] == got[502] == (True, "words")
+
+
+def test_bit_set(spark):
+    rng = np.random.RandomState(1)
+    h = rng.randint(-(1 << 62), 1 << 62, 5000)
+    s = T.BitSet(spark.createDataFrame([(int(x),) for x in h], "h long"), len(h), 2)
+    assert s.has(h.view(np.uint64)).all()
+    assert s.has(rng.randint(-(1 << 62), 1 << 62, 20_000).view(np.uint64)).mean() < 0.02
+    assert not T.BitSet(spark.createDataFrame([], "h long"), 0).has(h.view(np.uint64)).any()
 
 
 def brute_repeats(words_, density, at_least):
