@@ -145,20 +145,23 @@ def test_pair_recall_against_brute_force(spark):
     assert sum(got[t] == (want[t] == 1) for t in got) >= 0.97 * len(got)
 
 
-def test_a_crowd_at_one_place_is_compared_as_a_whole(spark):
-    """Where none of a place's representatives aligns, all of its other members are tried."""
-    opening = [f"word{i}" for i in range(60)]
+def test_copies_cost_a_row_each_not_a_pair(spark, monkeypatch):
+    """Among 150 near-copies of one text, each is compared with a few representatives."""
     rng = random.Random(3)
-    far = []
-    for k in range(30):  # share the closing words and some bands, but too few shingles
-        w = list(opening)
-        for i in range(1, 50, 9):
-            w[i] = f"other{rng.randrange(10**6)}"
-        far.append(" ".join([*w, "and goes on here."]))
-    cut = " ".join(opening[:59])
-    rows = [(k, t) for k, t in enumerate(far[:15])] + [(100, " ".join([*opening, "and goes on here."]))] + [(200 + k, t) for k, t in enumerate(far[15:])] + [(50, cut)]
-    got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame(rows, "uid long, text string")).collect()}
-    assert got[50] == (True, "aligned")
+    base = [f"word{i}" for i in range(120)]
+    texts = []
+    for k in range(150):
+        w = list(base)
+        w[rng.randrange(40)] = f"x{k}"
+        texts.append(" ".join(w[: rng.randrange(90, 120)] if k % 3 == 0 else w))
+    seen = []
+    real = T.candidate_pairs
+    monkeypatch.setattr(T, "candidate_pairs", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame(list(enumerate(texts)), "uid long, text string")).collect()}
+    want = pairs_by_brute_force(texts)
+    found = [k for k, t in enumerate(texts) if got[k][1] == "aligned"]
+    assert len(want) >= 45 and all(want[texts[k]] == got[k][0] for k in found) and len(found) >= 0.9 * len(want)
+    assert seen[0].count() < 30 * 150
 
 
 def test_cut_inside_the_last_word(spark):
