@@ -65,3 +65,8 @@ def extract_links(df: DataFrame, ident: str, html: str, base: str | None = None)
 
     source = df.select(F.col(ident).alias("i"), F.col(html).alias("h"), (F.col(base) if base else F.lit(None).cast("string")).alias("b"))
     return source.mapInArrow(run, f"i {kind}, position int, kind string, address string").withColumnRenamed("i", ident)
+
+
+def union_of_links(links: DataFrame, page: str) -> DataFrame:
+    """(page, address) once each over all copies of a page and all kinds of links; a null page is none."""
+    return links.select(page, "address").where(F.col(page).isNotNull() & F.col("address").isNotNull()).distinct()

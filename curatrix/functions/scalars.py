@@ -132,20 +132,39 @@ def leading_trigger(caption: Column, pattern: str = r"^([a-z0-9]+_[a-z0-9_]+)\s*
 
 
 def word_count(text: Column) -> Column:
-    """White-space separated words; a null text has none. Counted by matches, without building an array."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"(?U)\S+")), F.lit(0))
+    """White-space separated words; a null text has none.
 
+    Each word with the blanks around it becomes one character, and those are counted; no array is built.
+    """
+    marks = F.regexp_replace(text, r"(?U)(?:^\s++)?\S++\s*+", "x")
+    return F.coalesce(F.length(F.regexp_replace(marks, r"(?U)\s++", "")), F.lit(0))
+
+
+def sign_count(text: Column) -> Column:
+    """Runs of word characters plus other signs that are no ASCII blank; a null text has none.
+
+    Each run becomes one character, blanks none; what is left is counted, no array is built.
+    """
+    runs = F.regexp_replace(text, r"[\w\p{L}\p{M}\p{N}]++", "x")
+    return F.coalesce(F.length(F.regexp_replace(runs, r"\s++", "")), F.lit(0))
 
-def estimate_tokens(text: Column) -> Column:
-    """The greater of 1.35 times the words, rounded down, and the runs of word characters plus other signs; null is 0."""
-    signs = F.regexp_count(text, F.lit(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"))
-    return F.coalesce(F.greatest(F.floor(word_count(text) * F.lit(1.35)).cast("int"), signs), F.lit(0))
 
+def estimate_tokens(text: Column, words: Column | None = None, signs: Column | None = None) -> Column:
+    """The greater of 1.35 times the words, rounded down, and the runs of word characters plus other signs; null is 0.
 
-def already_updated(caption: Column, has_backup: Column, token_threshold: int = 400, word_threshold: int = 280) -> Column:
+    Counts already at hand may be given as ``words`` and ``signs``.
+    """
+    words = word_count(text) if words is None else words
+    return F.greatest(F.floor(words * F.lit(1.35)).cast("int"), sign_count(text) if signs is None else signs)
+
+
+def already_updated(
+    caption: Column, has_backup: Column, token_threshold: int = 400, word_threshold: int = 280, words: Column | None = None, signs: Column | None = None
+) -> Column:
     """Whether a non-blank caption has a backup or is as long as an updated one."""
-    long_enough = (estimate_tokens(caption) > token_threshold) | (word_count(caption) >= word_threshold)
-    return F.coalesce(null_if_blank(caption).isNotNull() & (F.coalesce(has_backup, F.lit(False)) | long_enough), F.lit(False))
+    words = word_count(caption) if words is None else words
+    long_enough = (estimate_tokens(caption, words, signs) > token_threshold) | (words >= word_threshold)
+    return F.coalesce((words > 0) & (F.coalesce(has_backup, F.lit(False)) | long_enough), F.lit(False))
 
 
 def hash_key(path: Column) -> Column:
@@ -163,9 +182,13 @@ def strip_fences(text: Column) -> Column:
 
 
 def downscaled(width: Column, height: Column, longest: int = 2048, multiple: int = 16) -> tuple[Column, Column]:
-    """Width and height scaled to ``longest`` if above it, each rounded half-even to ``multiple`` and at least one."""
-    scale = F.least(F.lit(1.0), F.lit(float(longest)) / F.greatest(width, height))
-    side = lambda x: F.greatest(F.lit(multiple), (F.bround(x * scale / multiple, 0) * multiple).cast("int"))
+    """Width and height scaled to ``longest`` if above it, each rounded half-even to ``multiple`` and at least one.
+
+    Both are null unless both edges are above 0.
+    """
+    valid = (width > 0) & (height > 0)
+    scale = F.least(F.lit(1.0), F.lit(float(longest)) / F.when(valid, F.greatest(width, height)))
+    side = lambda x: F.when(valid, F.greatest(F.lit(multiple), (F.bround(x * scale / multiple, 0) * multiple).cast("int")))
     return side(width), side(height)
 
 
@@ -181,11 +204,13 @@ def thousandths(numerator: Column, denominator: Column) -> Column:
 
 
 def aspect_ratio(width: Column, height: Column) -> Column:
-    return thousandths(width, height)
+    """Width by height to 3 decimals; null unless both edges are above 0."""
+    return F.when((width > 0) & (height > 0), thousandths(width, height))
 
 
 def megapixels(width: Column, height: Column) -> Column:
-    return thousandths(width.cast("long") * height.cast("long"), F.lit(1_000_000))
+    """Millions of pixels to 3 decimals; null unless both edges are above 0."""
+    return F.when((width > 0) & (height > 0), thousandths(width.cast("long") * height.cast("long"), F.lit(1_000_000)))
 
 
 def quality_score(mp: Column, laplacian: Column) -> Column:

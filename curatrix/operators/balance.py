@@ -72,6 +72,12 @@ def dominance(df: DataFrame, column: str, threshold: float) -> DataFrame:
     return counts.where(F.col("n") / total > threshold).select("value", "n", F.bround(F.col("n") / total, 3).alias("ratio"))
 
 
+def remaining_quota(df: DataFrame, category: str, quota: int) -> DataFrame:
+    """(category, present, missing): rows of each category and how many more its quota lets in; null is 'unknown'."""
+    counts = df.groupBy(F.coalesce(F.col(category), F.lit("unknown")).alias("category")).agg(F.count(F.lit(1)).alias("present"))
+    return counts.withColumn("missing", F.greatest(F.lit(0), F.lit(quota) - F.col("present")))
+
+
 def repeats(counts: DataFrame, n: str = "n", max_factor: float = 4.0) -> DataFrame:
     """Integer repeats that even out categories: greatest count over own, half-even, from 1 to ``max_factor``.
 

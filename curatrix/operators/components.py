@@ -1,7 +1,10 @@
-"""Connected components by alternating large-star and small-star steps on DataFrames."""
+"""Connected components: union-find inside every task, then star steps between tasks where many edges are left."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,25 +26,74 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 50) -> DataFrame:
+def _forest(flush_at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Edges (u, v) of a task as stars (vertex, least vertex it is linked to), emptied at ``flush_at`` vertices."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+        schema = None
+
+        def root(x):
+            while (p := parent[x]) != x:
+                parent[x] = x = parent[p]
+            return x
+
+        def emit() -> pa.RecordBatch:
+            child = [x for x in parent if parent[x] != x]
+            out = pa.RecordBatch.from_arrays([pa.array(child, schema.field(0).type), pa.array([root(x) for x in child], schema.field(1).type)], names=["u", "v"])
+            parent.clear()
+            return out
+
+        for batch in batches:
+            schema = batch.schema
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parent.setdefault(u, u)
+                parent.setdefault(v, v)
+                a, b = root(u), root(v)
+                if a < b:
+                    parent[b] = a
+                elif b < a:
+                    parent[a] = b
+            if len(parent) >= flush_at:
+                yield emit()
+        if parent:
+            yield emit()
+
+    return run
+
+
+def connected_components(pairs: DataFrame, a: str = "a", b: str = "b", at_once: int = 500_000, max_rounds: int = 50) -> DataFrame:
     """(id, component) of every id in ``pairs``; component is the least id. Nulls and self-pairs link nothing.
 
-    Rounds end when the edges no longer change; running out of rounds is an error, never a silent stop.
-    Every round is cut off by a reliable checkpoint. Hot vertices: the least neighbour is found by a
-    partial aggregation and the join is left to adaptive skew splitting.
+    Every input partition is first reduced to a forest by union-find, before any shuffle. If no more than
+    ``at_once`` edges are left, which bounds the task, one more union-find ends it; else large-star and
+    small-star steps go on until the edges no longer change. Running out of rounds is an error, never a
+    silent stop. Every round is cut off by a reliable checkpoint. Hot vertices: the least neighbour is found
+    by a partial aggregation and the join is left to adaptive skew splitting.
     """
-    edges = cut_lineage(pairs.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u") != F.col("v")).distinct())
+    links = pairs.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u") != F.col("v"))
+    kind = f"u {links.schema['u'].dataType.simpleString()}, v {links.schema['v'].dataType.simpleString()}"
+    edges = cut_lineage(links.mapInArrow(_forest(at_once), kind))
+    if edges.count() <= at_once:
+        stars = cut_lineage(edges.coalesce(1).mapInArrow(_forest(1 << 62), kind))
+        return _labelled(stars)
+    edges = cut_lineage(edges.distinct())
     signature = None
     for _ in range(max_rounds):
         edges = cut_lineage(_star(_star(edges, True), False))
         row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(row) == signature:
-            roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots).distinct()
+            return _labelled(edges)
         signature = tuple(row)
     raise RuntimeError(f"components still changed after {max_rounds} rounds")
 
 
+def _labelled(stars: DataFrame) -> DataFrame:
+    """(id, component) of star edges and their centres."""
+    centres = stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(centres)
+
+
 def display_label(rank: Column) -> Column:
     """cluster_0001 and so on from a rank."""
     return F.format_string("cluster_%04d", rank)

@@ -24,19 +24,23 @@ def quota(df: DataFrame, group: str, order: Sequence[Column], n: int) -> DataFra
 def even_sample(df: DataFrame, group: str, order: Sequence[Column], most: int = 7) -> DataFrame:
     """Without the first and last row of each group, at most ``most`` of the rest, evenly spaced.
 
-    Groups of two or fewer give nothing. Positions are round-half-even of i * (m - 1) / (most - 1).
+    ``order`` must be unique within a group; a null group is one group. Groups of two or fewer give
+    nothing. Positions are round-half-even of i * (m - 1) / (most - 1). Rows are numbered by a range
+    partitioning, so a group with a third of all rows is ranked by several tasks.
     """
-    ranked = df.withColumn("__i", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    sizes = df.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
-    pool = F.col("__n") - 2
-    spaced = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.bround(i * (pool - 1) / (most - 1), 0).cast("long") + 2)
-    picked = F.when(pool <= most, (F.col("__i") > 1) & (F.col("__i") < F.col("__n"))).otherwise(F.array_contains(spaced, F.col("__i").cast("long")))
-    return ranked.join(sizes, F.col(group).eqNullSafe(F.col("__g"))).where((F.col("__n") > 2) & picked).drop("__i", "__n", "__g")
+    keys = [f"__o{i}" for i in range(len(order))]
+    placed = dense_positions(df.withColumns({"__group": F.col(group), **dict(zip(keys, order))}), ["__group", *keys], "__at")
+    sizes = placed.groupBy(F.col("__group").alias("__g")).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    i, pool = F.col("__at") - F.col("__first") + 1, F.col("__n") - 2
+    spaced = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda x: F.bround(x * (pool - 1) / (most - 1), 0).cast("long") + 2)
+    picked = F.when(pool <= most, (i > 1) & (i < F.col("__n"))).otherwise(F.array_contains(spaced, i))
+    joined = placed.join(sizes.where(F.col("__n") > 2), F.col("__group").eqNullSafe(F.col("__g")))
+    return joined.where(picked).drop("__group", *keys, "__at", "__g", "__n", "__first")
 
 
 def hashed_sample(df: DataFrame, ident: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows drawn by a hash of id and seed: the same rows on every run."""
-    return df.orderBy(F.xxhash64(ident, F.lit(seed)), ident).limit(n)
+    """``n`` rows drawn by a hash of seed and id: the same rows on every run and on any engine that has MD5."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(ident).cast("string"))), ident).limit(n)
 
 
 def tier(position: Column, weights: tuple[int, int, int] = (30, 40, 30), names: tuple[str, str, str] = ("tags", "short", "dense"), forced: str | None = None) -> Column:
@@ -62,19 +66,40 @@ def dense_positions(df: DataFrame, order: str | Sequence[str], name: str = "posi
 
 
 def unique_names(df: DataFrame, folder: str, name: str, ident: str, out: str = "unique_name") -> DataFrame:
-    """Names made unique per folder, ignoring case: the first by ``ident`` keeps its own, the k-th gets _k before the extension.
+    """Names made unique per folder, ignoring case.
 
-    Positions come from a range partitioning of (folder, name, ident), so one name in a third of all rows
-    is numbered by several tasks. A suffixed name is not checked against other rows' own names.
+    The first row by ``ident`` (unique) of every name keeps it. The others get _1, _2 and so on before the
+    extension, in the order of ``ident``, passing over numbers that would be another row's own name; a null
+    name counts as empty, a null folder as ''. No two results of a folder are equal: suffixed names of
+    different stems differ, and those of one stem have different numbers. Positions come from a range
+    partitioning, so one name in a third of all rows is numbered by several tasks.
     """
-    keyed = df.withColumn("__f", F.coalesce(F.col(folder), F.lit(""))).withColumn("__n_", F.lower(F.coalesce(F.col(name), F.lit(""))))
-    placed = dense_positions(keyed, ["__f", "__n_", ident], "__at")
-    starts = placed.groupBy("__f", "__n_").agg(F.min("__at").alias("__first"))
+    keyed = df.withColumn("__f", F.coalesce(F.col(folder), F.lit(""))).withColumn("__s", F.coalesce(F.col(name), F.lit("")))
+    placed = dense_positions(keyed.withColumn("__b", F.lower("__s")), ["__f", "__b", ident], "__at")
+    own = cut_lineage(placed.groupBy("__f", "__b").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n")))
+    numbered = placed.join(own.drop("__n"), ["__f", "__b"]).withColumn("__k", F.col("__at") - F.col("__first")).drop("__first")
+    # Own names that look like a suffixed one of a name that has more than one row.
+    stem, ext = _stem_and_extension(F.col("__b"))
+    number, start = F.regexp_extract(stem, r"_([1-9]\d{0,17})$", 1), F.regexp_replace(stem, r"_[1-9]\d{0,17}$", "")
+    # What would be left as a bare extension is a name of its own kind: its suffix comes last.
+    alike = own.where((number != "") & ((start != "") | (ext == ""))).select("__f", F.concat(start, ext).alias("__b"), number.alias("__t"))
+    alike = alike.withColumn("__t", F.col("__t").cast("long")).join(own.where(F.col("__n") > 1).select("__f", "__b"), ["__f", "__b"], "left_semi")
+    ranked = dense_positions(alike, ["__f", "__b", "__t"], "__i")
+    least = ranked.groupBy("__f", "__b").agg(F.min("__i").alias("__i0"))
+    # The i-th taken number t is passed over by all rows from the (t - i)-th on, so merged in that order a row's place is its number.
+    taken = ranked.join(least, ["__f", "__b"]).select("__f", "__b", (F.col("__t") - (F.col("__i") - F.col("__i0"))).alias("__k"), F.lit(0).alias("__row"), F.col("__t").alias("__tie"))
+    wanted = numbered.where(F.col("__k") > 0).select("__f", "__b", "__k", F.lit(1).alias("__row"), F.lit(0).cast("long").alias("__tie"))
+    merged = dense_positions(wanted.unionByName(taken), ["__f", "__b", "__k", "__row", "__tie"], "__m")
+    base = merged.groupBy("__f", "__b").agg(F.min("__m").alias("__m0"))
+    given = merged.where(F.col("__row") == 1).join(base, ["__f", "__b"]).select("__f", "__b", "__k", (F.col("__m") - F.col("__m0") + 1).alias("__number"))
+    stem, ext = _stem_and_extension(F.col("__s"))
+    result = F.when(F.col("__k") == 0, F.col("__s")).otherwise(F.concat(stem, F.lit("_"), F.col("__number").cast("string"), ext))
+    return numbered.join(given, ["__f", "__b", "__k"], "left").withColumn(out, result).drop("__f", "__s", "__b", "__at", "__k", "__number")
+
+
+def _stem_and_extension(name: Column) -> tuple[Column, Column]:
     ext = F.regexp_extract(name, r"[^.](\.[^.]*)$", 1)
-    stem = F.substring(F.col(name), F.lit(1), F.length(name) - F.length(ext))
-    k = F.col("__at") - F.col("__first")
-    named = placed.join(starts, ["__f", "__n_"]).withColumn(out, F.when(k == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), k.cast("string"), ext)))
-    return named.drop("__f", "__n_", "__at", "__first")
+    return F.substring(name, F.lit(1), F.length(name) - F.length(ext)), ext
 
 
 def batches(position: Column, size: int) -> Column:

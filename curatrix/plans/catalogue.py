@@ -11,6 +11,7 @@ from curatrix.functions import compliance, json_repair, scalars
 from curatrix.functions import html as pages
 from curatrix.operators import balance, components, dedup, fingerprint, gates, select, stages
 from curatrix.operators.state import latest_rows
+from curatrix.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -176,20 +177,21 @@ def q_diagnostics(spark, d):
 _SIZE = "greatest(16, (round_even({0} * least(1.0::DOUBLE, 2048.0::DOUBLE / greatest(width, height)) / 16, 0) * 16)::INT)"
 
 
-@_query(f"SELECT line_no, {_SIZE.format('width')} AS w, {_SIZE.format('height')} AS h FROM manifest_entries WHERE width > 0 AND height > 0")
+@_query(f"SELECT line_no, CASE WHEN width > 0 AND height > 0 THEN {_SIZE.format('width')} END AS w, CASE WHEN width > 0 AND height > 0 THEN {_SIZE.format('height')} END AS h FROM manifest_entries")
 def q_downscale_dims(spark, d):
     w, h = scalars.downscaled(F.col("width"), F.col("height"))
-    return _t(spark, d, "manifest_entries").where("width > 0 and height > 0").select("line_no", w.alias("w"), h.alias("h"))
+    return _t(spark, d, "manifest_entries").select("line_no", w.alias("w"), h.alias("h"))
 
 
 @_query(
-    f"""SELECT a.line_no, a.ar, m.mp FROM
-    (SELECT line_no, {_HALF_EVEN} AS ar FROM (SELECT line_no, height::BIGINT AS d, (width::BIGINT * 1000) // height AS q, (width::BIGINT * 1000) % height AS r FROM manifest_entries WHERE width > 0 AND height > 0)) a
-    JOIN (SELECT line_no, {_HALF_EVEN} AS mp FROM (SELECT line_no, 1000000 AS d, (width::BIGINT * height * 1000) // 1000000 AS q, (width::BIGINT * height * 1000) % 1000000 AS r FROM manifest_entries WHERE width > 0 AND height > 0)) m USING (line_no)"""
+    f"""WITH g AS (SELECT line_no, CASE WHEN width > 0 AND height > 0 THEN width::BIGINT END AS w, CASE WHEN width > 0 AND height > 0 THEN height::BIGINT END AS h FROM manifest_entries)
+    SELECT a.line_no, a.ar, m.mp FROM
+    (SELECT line_no, {_HALF_EVEN} AS ar FROM (SELECT line_no, h AS d, (w * 1000) // h AS q, (w * 1000) % h AS r FROM g)) a
+    JOIN (SELECT line_no, {_HALF_EVEN} AS mp FROM (SELECT line_no, 1000000 AS d, (w * h * 1000) // 1000000 AS q, (w * h * 1000) % 1000000 AS r FROM g)) m USING (line_no)"""
 )
 def q_geometry(spark, d):
     w, h = F.col("width"), F.col("height")
-    return _t(spark, d, "manifest_entries").where("width > 0 and height > 0").select("line_no", scalars.aspect_ratio(w, h).alias("ar"), scalars.megapixels(w, h).alias("mp"))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.aspect_ratio(w, h).alias("ar"), scalars.megapixels(w, h).alias("mp"))
 
 
 @_query(f"SELECT doc_id, {_words_sql('text')} AS words FROM documents")
@@ -199,8 +201,10 @@ def q_word_count(spark, d):
 
 @_query(f"SELECT caption_id, {_tokens_sql('caption_dense')} AS tokens, coalesce(trim(caption_dense) <> '' AND ({_tokens_sql('caption_dense')} > 150 OR {_words_sql('caption_dense')} >= 280), false) AS updated FROM captions")
 def q_token_estimate(spark, d):
-    c = F.col("caption_dense")
-    return _t(spark, d, "captions").select("caption_id", scalars.estimate_tokens(c).alias("tokens"), scalars.already_updated(c, F.lit(False), 150).alias("updated"))
+    """Tokens of every caption; the threshold is 150 instead of 400, as no caption of these tables is longer."""
+    c, words, signs = F.col("caption_dense"), F.col("words"), F.col("signs")
+    counted = _t(spark, d, "captions").select("caption_id", "caption_dense", scalars.word_count(c).alias("words"), scalars.sign_count(c).alias("signs"))
+    return counted.select("caption_id", scalars.estimate_tokens(c, words, signs).alias("tokens"), scalars.already_updated(c, F.lit(False), 150, 280, words, signs).alias("updated"))
 
 
 @_query("SELECT caption_id, CASE WHEN style IS NULL OR lower(style) = 'other' THEN '' ELSE trim(replace(style, '_', ' ')) END AS style_words FROM captions")
@@ -209,14 +213,13 @@ def q_humanize(spark, d):
 
 
 @_query(
-    r"""SELECT line_no, trim(regexp_replace(CASE WHEN t = '' OR starts_with(lower(b), lower(regexp_replace(t, '[, ]+$', ''))) THEN b
+    r"""SELECT line_no, trim(regexp_replace(CASE WHEN b = '' THEN t WHEN t = '' OR starts_with(lower(b), lower(regexp_replace(t, '[, ]+$', ''))) THEN b
       ELSE t || CASE WHEN contains(b, ',') AND NOT starts_with(b, 'Photograph') THEN ', ' ELSE ' ' END || b END, '[\s\x{00A0}\x{2000}-\x{200A}\x{3000}]+', ' ', 'g')) AS caption
-    FROM (SELECT line_no, coalesce(trim(trigger_word), '') AS t, trim(caption_text) AS b FROM manifest_entries WHERE trim(caption_text) <> '')"""
+    FROM (SELECT line_no, coalesce(trim(trigger_word), '') AS t, coalesce(trim(caption_text), '') AS b FROM manifest_entries)"""
 )
 def q_assemble_dense(spark, d):
     none = F.lit(None).cast("string")
-    rows = _t(spark, d, "manifest_entries").where(F.trim("caption_text") != "")
-    return rows.select("line_no", scalars.assemble_caption(F.col("trigger_word"), F.col("caption_text"), none, none, none, none).alias("caption"))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.assemble_caption(F.col("trigger_word"), F.col("caption_text"), none, none, none, none).alias("caption"))
 
 
 @_query(
@@ -241,44 +244,59 @@ def q_leading_trigger(spark, d):
     return _t(spark, d, "manifest_entries").select("line_no", scalars.leading_trigger(F.col("caption_text")).alias("trigger"))
 
 
-@_query(r"SELECT line_no, lower(regexp_extract(string_split(raw_path, '/')[-1], '^([0-9a-fA-F]{8,64})', 1)) AS key FROM manifest_entries WHERE regexp_matches(string_split(raw_path, '/')[-1], '^[0-9a-fA-F]{8}')")
+_KEY = r"""lower(coalesce(nullif(regexp_extract({0}, '^([0-9a-fA-F]{{8,64}})', 1), ''), nullif(trim(string_split_regex({0}, '(?i)\.(?:jpe?g|png|webp|bmp)')[1]), ''), regexp_replace({0}, '(.)\.[^.]*$', '\1')))"""
+
+
+@_query(f"SELECT line_no, {_KEY.format('a')} AS key, {_KEY.format('b')} AS title_key FROM (SELECT line_no, string_split(raw_path, '/')[-1] AS a, string_split('sets/' || context_title || '.JPG', '/')[-1] AS b FROM manifest_entries)")
 def q_hash_key(spark, d):
-    rows = _t(spark, d, "manifest_entries").where(F.regexp_like(F.element_at(F.split("raw_path", "/"), -1), F.lit("^[0-9a-fA-F]{8}")))
-    return rows.select("line_no", scalars.hash_key(F.col("raw_path")).alias("key"))
+    """Keys of the paths, which lead with hex digits, and of paths made of the titles, which don't."""
+    titled = F.concat(F.lit("sets/"), F.col("context_title"), F.lit(".JPG"))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.hash_key(F.col("raw_path")).alias("key"), scalars.hash_key(titled).alias("title_key"))
 
 
-@_query("SELECT line_no, regexp_extract(source_url, '^[a-z]+://([^/]+)', 1) AS host, regexp_extract(source_url, '(\\.[A-Za-z0-9]+)$', 1) AS suffix FROM manifest_entries WHERE source_url LIKE 'https://%.example/%.jpg'")
+@_query(
+    r"""SELECT line_no, nullif(lower(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)), '') AS host,
+    lower(regexp_extract(regexp_replace(regexp_replace(source_url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '[^/](\.[A-Za-z0-9]+)$', 1)) AS suffix,
+    nullif(lower(regexp_extract(page_url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)), '') AS page_host FROM manifest_entries"""
+)
 def q_url_parts(spark, d):
     u = F.col("source_url")
-    rows = _t(spark, d, "manifest_entries").where(u.like("https://%.example/%.jpg"))
-    return rows.select("line_no", scalars.url_host(u).alias("host"), scalars.url_suffix(u).alias("suffix"))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.url_host(u).alias("host"), scalars.url_suffix(u).alias("suffix"), scalars.url_host(F.col("page_url")).alias("page_host"))
 
 
-@_query(
-    r"""SELECT line_no, coalesce(nullif(left(regexp_replace(regexp_replace(regexp_replace(context_title, '[\\/*?:"<>|]', '_', 'g'), '[\s\x{00A0}]+', ' ', 'g'), '^[. ]+|[. ]+$', '', 'g'), 40), ''), 'item') AS name
-    FROM manifest_entries WHERE context_title NOT LIKE '%\%%' ESCAPE '\' OR context_title IS NULL"""
-)
+_NAME = r"""coalesce(nullif(left(regexp_replace(regexp_replace(regexp_replace(url_decode({0}), '[\\/*?:"<>|]', '_', 'g'), '[\s\x{{00A0}}]+', ' ', 'g'), '^[. ]+|[. ]+$', '', 'g'), 40), ''), 'item')"""
+
+
+@_query(f"SELECT line_no, {_NAME.format('context_title')} AS name, {_NAME.format('joined')} AS joined_name FROM (SELECT *, context_title || '%2F' || category || '%20set' AS joined FROM manifest_entries)")
 def q_sanitize_name(spark, d):
+    """Names of all titles, and of titles with percent escapes put in, among them an escaped path separator."""
     t = F.col("context_title")
-    return _t(spark, d, "manifest_entries").where(t.isNull() | ~F.contains(t, F.lit("%"))).select("line_no", scalars.sanitize_name(t, 40).alias("name"))
+    joined = F.concat(t, F.lit("%2F"), F.col("category"), F.lit("%20set"))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.sanitize_name(t, 40).alias("name"), scalars.sanitize_name(joined, 40).alias("joined_name"))
 
 
-@_query()
-def q_sanitize_name_all(spark, d):
-    """Every row's name, percent escapes included; q_sanitize_name has the rows its SQL covers."""
-    return _t(spark, d, "manifest_entries").select("line_no", scalars.sanitize_name(F.col("context_title"), 40).alias("name"))
+@_query(
+    """SELECT line_no, concat(a, '-', b, ', ', c) AS spec, list_sort(list_distinct(list_concat(range(least(a, b), greatest(a, b) + 1), [c])))::INT[] AS pages
+    FROM (SELECT line_no, line_no % 9 + 1 AS a, line_no % 4 + 1 AS b, line_no % 13 + 1 AS c FROM manifest_entries)"""
+)
+def q_page_range(spark, d):
+    n = F.col("line_no")
+    spec = F.concat(n % 9 + 1, F.lit("-"), n % 4 + 1, F.lit(", "), n % 13 + 1)
+    return _t(spark, d, "manifest_entries").select("line_no", spec.alias("spec")).select("line_no", "spec", scalars.page_numbers(F.col("spec"), F.lit(4)).alias("pages"))
 
 
-@_query("SELECT spec, pages FROM (VALUES ('1', [1]), ('3-1, 7', [1, 2, 3, 7]), ('all', [1, 2, 3, 4]), (' 2 ,2,5-6', [2, 5, 6]), ('x', NULL), ('0-2', [1, 2])) t(spec, pages)")
-def q_page_range(spark, d):
-    rows = spark.createDataFrame([("1",), ("3-1, 7",), ("all",), (" 2 ,2,5-6",), ("x",), ("0-2",)], "spec string")
-    return rows.select("spec", scalars.page_numbers(F.col("spec"), F.lit(4)).alias("pages"))
+@_query("SELECT line_no, CASE WHEN line_no % 3 = 0 THEN page_url || '?page=' || (line_no % 5 + 2) WHEN line_no % 5 = 0 THEN page_url ELSE page_url || '?page=' || (line_no % 5 + 1) END AS url FROM manifest_entries")
+def q_page_url(spark, d):
+    """Addresses of numbered pages: the number replaced where the base has one, else appended; page 1 is the base."""
+    n, u = F.col("line_no"), F.col("page_url")
+    base, page = F.when(n % 3 == 0, F.concat(u, F.lit("?page=99"))).otherwise(u), n % 5 + F.when(n % 3 == 0, 2).otherwise(1)
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.page_url(base, page).alias("url"))
 
 
-@_query("SELECT line_no, sha256(caption_text) AS full_id, left(sha256(caption_text), 16) AS short_id FROM manifest_entries WHERE caption_text IS NOT NULL")
+@_query("SELECT line_no, sha256(caption_text) AS full_id, left(sha256(caption_text), 16) AS short_id FROM manifest_entries")
 def q_content_id(spark, d):
     c = F.col("caption_text").cast("binary")
-    return _t(spark, d, "manifest_entries").where("caption_text is not null").select("line_no", scalars.content_id(c).alias("full_id"), scalars.content_id(c, 16).alias("short_id"))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.content_id(c).alias("full_id"), scalars.content_id(c, 16).alias("short_id"))
 
 
 @_query(
@@ -320,39 +338,30 @@ def q_vocabulary_dimensions(spark, d):
 
 
 @_query(
-    r"""SELECT line_no, trim(regexp_replace(regexp_replace(regexp_replace(context_title, '[ \t]+\|[^|]*$', ''), '(?i)[ \t\x{00A0}]*[-–|,]?[ \t\x{00A0}]*[\(\[]?\bpage[ \t\x{00A0}]+\d+.*$', ''), '[\s\x{00A0}]+', ' ', 'g')) AS title
-    FROM manifest_entries WHERE NOT contains(context_title, chr(160))"""
+    r"""SELECT line_no, trim(regexp_replace(regexp_replace(regexp_replace(context_title, '[\s\x{00A0}]+\|[^|]*$', ''), '(?i)[\s\x{00A0}]*[-–|,]?[\s\x{00A0}]*[\(\[]?\bpage[\s\x{00A0}]+\d+.*$', ''), '[\s\x{00A0}]+', ' ', 'g')) AS title
+    FROM manifest_entries"""
 )
 def q_clean_title(spark, d):
-    t = F.col("context_title")
-    return _t(spark, d, "manifest_entries").where(~F.contains(t, F.lit("\u00a0"))).select("line_no", scalars.clean_title(t).alias("title"))
-
-
-@_query()
-def q_clean_title_all(spark, d):
-    """Every row's title, no-break spaces and nulls included; q_clean_title has the rows its SQL covers."""
     return _t(spark, d, "manifest_entries").select("line_no", scalars.clean_title(F.col("context_title")).alias("title"))
 
 
-@_query("SELECT line_no, list_filter(list_transform(context_tags, lambda x: trim(x)), lambda x, i: x <> '' AND list_position(list_transform(context_tags, lambda y: lower(trim(y))), lower(x)) = i) AS tags FROM manifest_entries WHERE context_tags IS NOT NULL AND NOT list_contains(list_transform(context_tags, lambda x: x IS NULL), true)")
+@_query(
+    """SELECT line_no, list_filter(c, lambda x, i: list_position(list_transform(c, lambda y: lower(y)), lower(x)) = i) AS tags
+    FROM (SELECT line_no, list_filter(list_transform(context_tags, lambda x: trim(x)), lambda x: x IS NOT NULL AND x <> '') AS c FROM manifest_entries)"""
+)
 def q_distinct_tags(spark, d):
-    rows = _t(spark, d, "manifest_entries").where("context_tags is not null and not exists(context_tags, x -> x is null)")
-    return rows.select("line_no", scalars.distinct_ignoring_case(F.col("context_tags")).alias("tags"))
-
-
-@_query()
-def q_distinct_tags_all(spark, d):
-    """Every row's tags; null elements are no tags, a null list stays null. q_distinct_tags has the rows its SQL covers."""
+    """The tags of every row; null elements are no tags, a null list stays null."""
     return _t(spark, d, "manifest_entries").select("line_no", scalars.distinct_ignoring_case(F.col("context_tags")).alias("tags"))
 
 
 # --- duplicates --------------------------------------------------------------------------------
 
 
-@_query("SELECT md5(text) AS key, count(*) AS members, min(doc_id) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY 1")
+@_query(f"SELECT {_KEY.format('a')} AS key, count(*) AS members, min(line_no) AS line_no FROM (SELECT line_no, string_split(raw_path, '/')[-1] AS a FROM manifest_entries WHERE raw_path IS NOT NULL) GROUP BY 1")
 def q_exact_groups(spark, d):
-    rows = _t(spark, d, "documents").where("text is not null").select("doc_id", F.md5("text").alias("key"))
-    return dedup.best_of(rows, ["key"], [F.col("doc_id")], ["doc_id"])
+    """Groups of rows whose file names hold the same identity, each with its first row; a row without a path has none."""
+    rows = _t(spark, d, "manifest_entries").where("raw_path is not null").select("line_no", scalars.hash_key(F.col("raw_path")).alias("key"))
+    return dedup.best_of(rows, ["key"], [F.col("line_no")], ["line_no"])
 
 
 _RANK = rf"(raw_path LIKE '.%/%' OR raw_path LIKE '%/.%/%')::INT, regexp_matches(raw_path, '(?i)\.(jpe?g|png|webp|bmp)\.(jpe?g|png|webp|bmp)$')::INT, -{_words_sql('caption_text')}, length(string_split(raw_path, '/')[-1]), length(raw_path), raw_path, line_no"
@@ -424,7 +433,7 @@ def q_hamming_pairs_t6(spark, d):
     w(id, c) AS (SELECT a, a FROM e UNION SELECT e.b, w.c FROM w JOIN e ON e.a = w.id) SELECT id, min(c) AS component FROM w GROUP BY id"""
 )
 def q_near_duplicate_components(spark, d):
-    prints = _phashes(spark, d)
+    prints = cut_lineage(_phashes(spark, d))
     pairs = fingerprint.hamming_pairs(prints, "image_id", "hi", "lo", 6).select("a", "b").union(fingerprint.class_links(prints, "image_id", "hi", "lo"))
     return components.connected_components(pairs)
 
@@ -517,7 +526,7 @@ def q_even_sample(spark, d):
     return select.even_sample(_items(spark, d, "context_title"), "context_title", [F.col("image_id")]).select("context_title", "image_id")
 
 
-@_query()
+@_query("SELECT doc_id, lang FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 200")
 def q_hashed_sample(spark, d):
     return select.hashed_sample(_t(spark, d, "documents").select("doc_id", "lang"), "doc_id", 200, 7)
 
@@ -529,11 +538,17 @@ def q_caption_tier(spark, d):
 
 
 @_query(
-    r"""SELECT line_no, CASE WHEN k = 0 THEN name ELSE regexp_replace(name, '(\.[^.]*)$', '') || '_' || k || regexp_extract(name, '(\.[^.]*)$', 1) END AS unique_name FROM
-    (SELECT *, row_number() OVER (PARTITION BY source, lower(name) ORDER BY line_no) - 1 AS k FROM (SELECT line_no, coalesce(source, '') AS source, string_split(raw_path, '/')[-1] AS name FROM manifest_entries WHERE raw_path IS NOT NULL))"""
+    r"""WITH x AS (SELECT line_no, coalesce(source, '') AS f, coalesce(string_split(raw_path, '/')[-1], '') AS name FROM manifest_entries),
+    e AS (SELECT *, lower(name) AS b, regexp_extract(name, '[^.](\.[^.]*)$', 1) AS ext, row_number() OVER (PARTITION BY f, lower(name) ORDER BY line_no) - 1 AS k FROM x),
+    own AS (SELECT f, b, count(*) AS n FROM e GROUP BY 1, 2),
+    p AS (SELECT f, b, regexp_extract(b, '[^.](\.[^.]*)$', 1) AS ext FROM own), q AS (SELECT f, b, ext, left(b, length(b) - length(ext)) AS stem FROM p),
+    t AS (SELECT f, regexp_replace(stem, '_[1-9]\d{0,17}$', '') || ext AS b, regexp_extract(stem, '_([1-9]\d{0,17})$', 1)::BIGINT AS t FROM q WHERE regexp_matches(stem, '_[1-9]\d{0,17}$') AND NOT (regexp_matches(stem, '^_[1-9]\d{0,17}$') AND ext <> '')),
+    s AS (SELECT f, b, list(t - i + 1) AS passed FROM (SELECT *, row_number() OVER (PARTITION BY f, b ORDER BY t) AS i FROM t) GROUP BY 1, 2)
+    SELECT line_no, CASE WHEN k = 0 THEN name ELSE left(name, length(name) - length(ext)) || '_' || (k + coalesce(len(list_filter(passed, lambda z: z <= k)), 0)) || ext END AS unique_name
+    FROM e LEFT JOIN s USING (f, b)"""
 )
 def q_unique_names(spark, d):
-    rows = _t(spark, d, "manifest_entries").where("raw_path is not null").select("line_no", "source", F.element_at(F.split("raw_path", "/"), -1).alias("name"))
+    rows = _t(spark, d, "manifest_entries").select("line_no", "source", F.element_at(F.split("raw_path", "/"), -1).alias("name"))
     return select.unique_names(rows, "source", "name", "line_no").select("line_no", "unique_name")
 
 
@@ -560,35 +575,102 @@ def q_prompt_grid(spark, d):
     return select.prompt_grid(_t(spark, d, "vocabulary"), {"style": 4, "location": 3, "pose": 3}, "look")
 
 
-@_query("SELECT 'b' AS url UNION ALL SELECT 'd'")
+@_query("SELECT line_no, CASE WHEN coalesce(width, 0)::BIGINT * coalesce(height, 0) + 1 >= 1000000 THEN source_url ELSE source_url || '?w=1000' END AS url FROM manifest_entries")
 def q_best_variant(spark, d):
-    s = "array<struct<url:string,type:string,width:int,height:int,isOptimized:boolean>>"
-    rows = spark.createDataFrame(
-        [([("a.mp4", "MP4", 9, 9, False), ("a", "JPEG", 4, 4, True), ("b", "JPEG", 4, 4, False)],), ([("c", None, None, 3, False), ("d", "PNG", 2, 2, True)],)], f"s {s}"
-    )
-    return rows.select(scalars.best_variant(F.col("s"))["url"].alias("url"))
+    """Of a row's original, a scaled copy and a clip: the static one with most pixels, the original on a tie."""
+    u = F.col("source_url")
+    variant = lambda url, kind, w, h, optimized: F.struct(url.alias("url"), F.lit(kind).alias("type"), w.alias("width"), h.alias("height"), F.lit(optimized).alias("isOptimized"))
+    side = F.lit(1000)
+    listed = F.array(variant(F.concat(u, F.lit(".mp4")), "MP4", F.lit(9999), F.lit(9999), False), variant(F.concat(u, F.lit("?w=1000")), "JPEG", side, side, True), variant(u, "JPEG", F.col("width"), F.col("height"), False))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.best_variant(listed)["url"].alias("url"))
 
 
 # --- pages -------------------------------------------------------------------------------------
 
 
-@_query("SELECT doc_id, len(regexp_extract_all(text, '(?i)<a\\s[^>]*href=\"([^\"]*)\"', 1)) AS links FROM documents WHERE regexp_matches(text, '(?i)<a\\s[^>]*href=\"')")
+@_query(
+    """SELECT line_no, 0 AS position, 'a' AS kind, page_url AS address FROM manifest_entries WHERE page_url IS NOT NULL
+    UNION ALL SELECT line_no, 1, 'img', source_url FROM manifest_entries WHERE page_url IS NOT NULL"""
+)
 def q_page_links(spark, d):
-    docs = _t(spark, d, "documents").where(F.regexp_like("text", F.lit(r"(?i)<a\s[^>]*href=\"")))
-    return pages.extract_links(docs, "doc_id", "text").where("kind = 'a'").groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("links"))
+    """Links and pictures of a page made of each row's addresses, one of them relative and escaped."""
+    path = F.regexp_replace("page_url", r"^[a-z]+://[^/]+", "")
+    html = F.concat(F.lit("<div><A class=x HREF='"), F.replace(path, F.lit("/"), F.lit("&#47;")), F.lit("'>set<img alt=\"a > b\" src='thumb.gif' data-src=\""), F.col("source_url"), F.lit("\"></a><a name=top>"))
+    rows = _t(spark, d, "manifest_entries").select("line_no", "page_url", html.alias("html"))
+    return pages.extract_links(rows, "line_no", "html", "page_url")
+
 
+@_query("SELECT DISTINCT page_url AS page, source_url AS address FROM manifest_entries WHERE page_url IS NOT NULL AND source_url IS NOT NULL")
+def q_union_of_links(spark, d):
+    """Every address found on a page once, however many of the page's copies hold it."""
+    rows = _t(spark, d, "manifest_entries").select("page_url", F.concat(F.lit("<img src=\""), F.col("source_url"), F.lit("\">")).alias("html"))
+    return pages.union_of_links(pages.extract_links(rows, "page_url", "html"), "page_url").select(F.col("page_url").alias("page"), "address")
 
-@_query("SELECT * FROM (VALUES (1, 'header:tdm-reservation'), (2, 'header:x-robots-tag'), (3, 'meta:tdm-reservation'), (4, 'meta:robots'), (5, NULL)) t(id, reason)")
+
+@_query(
+    """SELECT doc_id, CASE WHEN source LIKE 'b%' THEN 'header:tdm-reservation' WHEN doc_type = 'gallery_page' THEN 'header:x-robots-tag' WHEN lang = 'fr' THEN 'meta:tdm-reservation'
+    WHEN lang = 'de' THEN 'meta:robots' END AS reason FROM documents"""
+)
 def q_reservation(spark, d):
-    rows = [
-        (1, {"TDM-Reservation": "1"}, None),
-        (2, {"X-Robots-Tag": "noai, noimageai"}, "<p>"),
-        (3, None, '<meta content="1" name="tdm-reservation">'),
-        (4, {"Content-Type": "image/jpeg"}, '<META NAME="robots" CONTENT="index, NoAI">'),
-        (5, {"Content-Type": "image/jpeg"}, '<meta name="robots" content="index">'),
-    ]
-    df = spark.createDataFrame(rows, "id int, headers map<string,string>, html string")
-    return df.select("id", compliance.reservation(F.col("headers"), F.col("html")).alias("reason"))
+    """Reservations in headers and metadata made of each document's columns; its whole text is the page's body."""
+    has = lambda c, then, other: F.when(F.coalesce(c, F.lit(False)), then).otherwise(other)
+    lang, text = F.col("lang"), F.coalesce("text", F.lit(""))
+    headers = F.create_map(
+        F.lit("Content-Type"), F.lit("text/html"), F.lit("TDM-Reservation"), has(F.col("source").like("b%"), "1", "0"), F.lit("X-Robots-Tag"), has(F.col("doc_type") == "gallery_page", "noai, noimageai", "all")
+    )
+    meta = F.concat(F.lit("<META NAME='robots' CONTENT='"), has(lang == "de", "index, NoAI", "index"), F.lit("'><meta content=\""), has(lang == "fr", "1", "0"), F.lit("\" name=\"tdm-reservation\">"), F.replace(text, F.lit("<"), F.lit("&lt;")))
+    return _t(spark, d, "documents").select("doc_id", compliance.reservation(headers, meta).alias("reason"))
+
+
+@_query(
+    r"""SELECT line_no, CASE WHEN caption_text IS NULL THEN NULL ELSE trim(regexp_replace(caption_text, '"', '', 'g')) END AS bare FROM manifest_entries"""
+)
+def q_strip_fences(spark, d):
+    """Captions wrapped in a code fence and quotes come out as they were."""
+    plain = F.replace("caption_text", F.lit('"'), F.lit(""))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.strip_fences(F.concat(F.lit('```json\n"'), F.trim(plain), F.lit('"\n```'))).alias("bare"))
+
+
+@_query("SELECT line_no, coalesce(length(caption_text) >= 200, false) AS large, coalesce(source_url LIKE '%.jpg' AND NOT regexp_matches(source_url, '(?i)avatar|banner|smil(ey|ies)|logo'), false) AS picture FROM manifest_entries")
+def q_payload_filters(spark, d):
+    c = F.col("caption_text")
+    return _t(spark, d, "manifest_entries").select("line_no", gates.least_bytes(c, 200).alias("large"), gates.is_picture_url(F.col("source_url")).alias("picture"))
+
+
+@_query("SELECT line_no, list_sort(list_distinct(list_concat(coalesce(rejection_reasons, []), ['manual_review']))) AS reasons FROM manifest_entries")
+def q_reason_append(spark, d):
+    """One more reason on every row, never twice; the list as a sorted set."""
+    return _t(spark, d, "manifest_entries").select("line_no", F.array_sort(F.array_distinct(gates.add_reasons(F.col("rejection_reasons"), F.array(F.lit("manual_review"))))).alias("reasons"))
+
+
+@_query(
+    f"""WITH {_CUR} SELECT coalesce(category, 'unknown') AS category, count(*) AS present, greatest(0, 100 - count(*)) AS missing FROM cur GROUP BY 1"""
+)
+def q_remaining_quota(spark, d):
+    return balance.remaining_quota(_items(spark, d, "category"), "category", 100)
+
+
+@_query(
+    f"""SELECT count(*) AS found, count(*) FILTER (caption_dense IS NULL OR trim(caption_dense) = '') AS without_text, count(*) FILTER ({_words_sql('caption_dense')} >= 120) AS long_enough,
+    count(*) FILTER (engine IS NULL) AS without_engine, count(DISTINCT image_id) AS images, count(*) FILTER (provenance_verified) AS verified FROM captions"""
+)
+def q_discovery_counters(spark, d):
+    """Six counters over all annotations in one aggregation."""
+    c = F.col("caption_dense")
+    blank = F.coalesce(F.trim(c), F.lit("")) == ""
+    return _t(spark, d, "captions").agg(
+        F.count(F.lit(1)).alias("found"), F.count_if(blank).alias("without_text"), F.count_if(scalars.word_count(c) >= 120).alias("long_enough"), F.count_if(F.col("engine").isNull()).alias("without_engine"),
+        F.count_distinct("image_id").alias("images"), F.count_if("provenance_verified").alias("verified"),
+    )
+
+
+@_query(
+    """SELECT c.caption_id FROM captions c WHERE c.image_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM manifest_entries m WHERE m.image_id = c.image_id AND m.stages_status['stage1_crawl'] = 'downloaded')"""
+)
+def q_known_and_downloaded(spark, d):
+    """Annotations whose image is not both known and downloaded."""
+    done = _t(spark, d, "manifest_entries").where(stages.has_status(F.col("stages_status"), "stage1_crawl", "downloaded")).select("image_id")
+    return _t(spark, d, "captions").where(F.col("image_id").isNotNull()).join(done, "image_id", "left_anti").select("caption_id")
 
 
 # --- relational warm-ups on the star schema ------------------------------------------------------

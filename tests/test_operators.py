@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,8 +68,39 @@ def test_components(spark):
     got = {tuple(r) for r in components.connected_components(spark.createDataFrame(pairs, "a string, b string")).collect()}
     want = {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")} | {(f"n{i:03d}", "n000") for i in range(61)}
     assert got == want
+    df = spark.createDataFrame(pairs, "a string, b string").repartition(5)
+    assert {tuple(r) for r in components.connected_components(df, at_once=3).collect()} == want  # by star steps
     with pytest.raises(RuntimeError):
-        components.connected_components(spark.createDataFrame(pairs, "a string, b string"), max_rounds=1)
+        components.connected_components(df, at_once=3, max_rounds=1)
+    assert components.connected_components(df.limit(0)).count() == 0
+
+
+def test_unique_names_against_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["f", "g", None]), rng.choice(["a.jpg", "A.jpg", "a_1.jpg", "a_2.JPG", "a_1_1.jpg", "b", "b_1", "b_3", ".x", ".x_1", "_1.x", "a_01.jpg", None, ""])) for i in range(300)]
+    df = spark.createDataFrame(rows, "i long, folder string, name string").repartition(4)
+    got = {r.i: r.unique_name for r in select.unique_names(df, "folder", "name", "i").collect()}
+    assert len(got) == 300
+    seen = {((f or ""), got[i].lower()) for i, f, _ in rows}
+    assert len(seen) == 300
+    taken = {(f or "", (n or "").lower()) for _, f, n in rows}
+    first, last = set(), {}
+    for i, f, n in rows:
+        f, n = f or "", n or ""
+        if (f, n.lower()) not in first:
+            first.add((f, n.lower()))
+            assert got[i] == n
+            continue
+        ext = re.search(r"[^.](\.[^.]*)$", n)
+        ext = ext.group(1) if ext else ""
+        k = last.get((f, n.lower()), 0) + 1
+        while (f, f"{n[: len(n) - len(ext)]}_{k}{ext}".lower()) in taken:
+            k += 1
+        last[f, n.lower()] = k
+        assert got[i] == f"{n[: len(n) - len(ext)]}_{k}{ext}", (i, n, got[i])
+    few = spark.createDataFrame([(1, "f", "a.jpg"), (2, "f", "a.jpg"), (3, "f", "a_1.jpg")], "i long, folder string, name string")
+    assert {r.i: r.unique_name for r in select.unique_names(few, "folder", "name", "i").collect()} == {1: "a.jpg", 2: "a_2.jpg", 3: "a_1.jpg"}
+    assert select.unique_names(df.limit(0), "folder", "name", "i").count() == 0
 
 
 def test_primary_ranking(spark):
@@ -125,7 +157,7 @@ def test_titles_and_tags_of_all_rows(spark, tmp_path):
     titles = [None, "", "Winter\u00a0set\u00a0| Some site", "Winter set - Page\u00a03 of 9", "Salt\u00a0&\u00a0Linen,\u2003page\u20032", "a%20b%2Fc", "50% off", "100%25\u00a0x"]
     tags = [None, [], [None], ["A", None, " a", "B"], [None, "b ", "B", ""], ["c"], ["C", "c", None], ["x"]]
     rows = list(zip(range(len(titles)), titles, tags))
-    spark.createDataFrame(rows, "line_no long, context_title string, context_tags array<string>").write.parquet(str(tmp_path / "manifest_entries.parquet"))
+    spark.createDataFrame(rows, "line_no long, context_title string, context_tags array<string>").withColumn("category", F.lit("c")).write.parquet(str(tmp_path / "manifest_entries.parquet"))
 
     def clean(t):
         t = re.sub(r"(?i)\s*[-–|,]?\s*[\(\[]?\bpage\s+\d+.*$", "", re.sub(r"\s+\|[^|]*$", "", t))
@@ -139,8 +171,8 @@ def test_titles_and_tags_of_all_rows(spark, tmp_path):
         return list({x.strip().lower(): x.strip() for x in reversed(xs) if x is not None and x.strip()}.values())[::-1]
 
     got = lambda q: {r[0]: r[1] for r in catalogue.QUERIES[q](spark, str(tmp_path)).collect()}
-    assert got("q_clean_title_all") == {i: None if t is None else clean(t) for i, t, _ in rows}
-    assert got("q_sanitize_name_all") == {i: "item" if t is None else name(t) for i, t, _ in rows}
-    found = got("q_distinct_tags_all")
+    assert got("q_clean_title") == {i: None if t is None else clean(t) for i, t, _ in rows}
+    assert got("q_sanitize_name") == {i: "item" if t is None else name(t) for i, t, _ in rows}
+    found = got("q_distinct_tags")
     assert {i: x and sorted(x) for i, x in found.items()} == {i: x and sorted(distinct(x)) for i, _, x in rows}
     assert found[3] == ["A", "B"] and found[4] == ["b"]
