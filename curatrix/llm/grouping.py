@@ -13,6 +13,8 @@ from curatrix.session import cut_lineage
 
 #: A vertex on the wire: its hash decides the order, so that chains shrink whatever their ids look like.
 _VERTEX = "struct<h:bigint,id:string>"
+#: Most rows of block sizes that are broadcast, about 30 MB; a larger grid joins them by a shuffle.
+BROADCAST_BLOCKS = 1_000_000
 
 
 def union_find(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -59,13 +61,14 @@ def _block(table: pa.Table) -> pa.Table:
 def _in_grid(edges: DataFrame, blocks: int, per_block: int) -> DataFrame:
     """Edges with their block: (row, column) of the end points' hashes, hot blocks split by a salt.
 
-    The block sizes brought along are at most blocks² rows, which bounds the broadcast by the grid.
+    The block sizes brought along are at most blocks² rows; they are broadcast up to BROADCAST_BLOCKS.
     """
     row, column = F.pmod("uh", F.lit(blocks)), F.pmod("vh", F.lit(blocks))
     placed = edges.withColumns({"i": F.least(row, column), "j": F.greatest(row, column)})
     sizes = placed.groupBy("i", "j").agg(F.ceil(F.count(F.lit(1)) / F.lit(per_block)).alias("parts"))
     salt = F.pmod(F.xxhash64("u", "v"), F.col("parts"))
-    return placed.join(F.broadcast(sizes), ["i", "j"]).select("uh", "u", "vh", "v", "i", "j", salt.alias("s"))
+    sizes = F.broadcast(sizes) if blocks * blocks <= BROADCAST_BLOCKS else sizes
+    return placed.join(sizes, ["i", "j"]).select("uh", "u", "vh", "v", "i", "j", salt.alias("s"))
 
 
 def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b", edges_per_block: int = 50_000, max_rounds: int = 60) -> DataFrame:

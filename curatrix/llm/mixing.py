@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from curatrix.session import cut_lineage
 
 
+#: Most sources a mix may name; their rates, one row each, are broadcast.
+MAX_SOURCES = 10_000
+
+
 def source_name(c: Column) -> Column:
     """One spelling per source: lower case, outer white space off, '_' and blanks as '-'; blank is null."""
     s = F.regexp_replace(F.regexp_replace(F.lower(c), r"(?U)^\s+|\s+$", ""), r"(?U)[\s_-]+", "-")
     return F.when(s != "", s)
 
 
-def mixing_rates(tokens: DataFrame, targets: DataFrame, total_tokens: int | None = None, default_max_repeats: int = 1, max_sources: int = 10_000) -> list[dict]:
+def mixing_rates(tokens: DataFrame, targets: DataFrame, total_tokens: int | None = None, default_max_repeats: int = 1, max_sources: int = MAX_SOURCES) -> list[dict]:
     """Target share, available tokens and repetition rate of each source of ``targets``.
 
     ``tokens`` is (source, n_tokens) per document, ``targets`` (source, target_weight, max_repeats).
@@ -55,13 +59,15 @@ def mix(documents: DataFrame, rates: list[dict], seed: int = 29) -> DataFrame:
     text) has nothing to supply and isn't either. A rate never exceeds its whole cap, so no document has
     more copies than the cap.
     """
-    given = {r["source"]: r["rate"] for r in rates if r["rate"] > 0}
+    given = [(r["source"], float(r["rate"])) for r in rates if r["rate"] > 0]
     if not given:
         return documents.select("doc_id", "source", "n_tokens", F.lit(1).alias("copy_no")).limit(0)
-    rate = F.create_map(*[F.lit(x) for kv in sorted(given.items()) for x in kv])[F.col("source")]
+    if len(given) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} target sources")
+    rated = documents.sparkSession.createDataFrame(given, "source string, rate double")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor("rate").cast("int") + (draw < F.col("rate") - F.floor("rate")).cast("int")
-    mixed = documents.where(F.col("n_tokens").isNotNull()).withColumn("rate", rate).where(F.col("rate").isNotNull())
+    mixed = documents.where(F.col("n_tokens").isNotNull()).join(F.broadcast(rated), "source")
     return mixed.withColumn("copies", copies).where(F.col("copies") > 0).select(
         "doc_id", "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no")
     )

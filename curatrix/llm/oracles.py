@@ -28,6 +28,17 @@ r AS (SELECT *, row_number() OVER (PARTITION BY c, title ORDER BY score DESC NUL
   title IS NULL OR title IN ('', 'untitled', 'unknown', 'n/a', '-') AS no_set FROM u)
 """
 
+_CLUSTERS = f"""
+WITH cur AS ({_CURRENT}), st AS (SELECT lower(trim(source)) AS s, max(trust) AS trust FROM source_trust GROUP BY 1),
+x AS (SELECT phash_cluster_id, image_id, updated_at, megapixels, qc_metrics, {_SCORE} AS score, coalesce(trust, -1) AS trust,
+  (qc_metrics.laplacian_variance IS NOT NULL AND qc_metrics.laplacian_variance > 0 AND NOT isnan(qc_metrics.laplacian_variance))::INT
+  + (qc_metrics.has_watermark IS NOT NULL)::INT + (qc_metrics.watermark_confidence IS NOT NULL)::INT AS complete
+  FROM cur LEFT JOIN st ON st.s = lower(trim(source)) WHERE phash_cluster_id IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY phash_cluster_id ORDER BY score DESC NULLS LAST, updated_at DESC NULLS LAST, image_id) AS a,
+  row_number() OVER (PARTITION BY phash_cluster_id ORDER BY complete DESC, trust DESC, updated_at DESC NULLS LAST, image_id) AS b,
+  count(*) OVER (PARTITION BY phash_cluster_id) AS n FROM x)
+"""
+
 ORACLES = {
     "p1_found": _TERMS + "SELECT dimension, term, mark FROM m WHERE mark IS NOT NULL",
     "p1_frequencies": _TERMS + "SELECT dimension, term, occurrences, records, mark FROM m",
@@ -40,14 +51,9 @@ e AS (SELECT a, b FROM p JOIN img x ON x.id = a JOIN img y ON y.id = b WHERE a <
 links AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 walk(id, g) AS (SELECT a, a FROM links UNION SELECT links.b, walk.g FROM walk JOIN links ON links.a = walk.id)
 SELECT id AS image_id, min(g) AS group_id FROM walk GROUP BY id""",
-    "p4_found": f"""
-WITH cur AS ({_CURRENT}), st AS (SELECT lower(trim(source)) AS s, max(trust) AS trust FROM source_trust GROUP BY 1),
-x AS (SELECT phash_cluster_id, image_id, updated_at, {_SCORE} AS score, coalesce(trust, -1) AS trust,
-  (qc_metrics.laplacian_variance IS NOT NULL AND qc_metrics.laplacian_variance > 0 AND NOT isnan(qc_metrics.laplacian_variance))::INT
-  + (qc_metrics.has_watermark IS NOT NULL)::INT + (qc_metrics.watermark_confidence IS NOT NULL)::INT AS complete
-  FROM cur LEFT JOIN st ON st.s = lower(trim(source)) WHERE phash_cluster_id IS NOT NULL),
-r AS (SELECT *, row_number() OVER (PARTITION BY phash_cluster_id ORDER BY score DESC NULLS LAST, updated_at DESC NULLS LAST, image_id) AS a,
-  row_number() OVER (PARTITION BY phash_cluster_id ORDER BY complete DESC, trust DESC, updated_at DESC NULLS LAST, image_id) AS b,
-  count(*) OVER (PARTITION BY phash_cluster_id) AS n FROM x)
-SELECT phash_cluster_id, max(image_id) FILTER (a = 1) AS image_id, max(image_id) FILTER (b = 1) AS qc_image_id FROM r WHERE n >= 2 GROUP BY 1""",
+    "p4_found": _CLUSTERS + "SELECT phash_cluster_id, max(image_id) FILTER (a = 1) AS image_id, max(image_id) FILTER (b = 1) AS qc_image_id FROM r WHERE n >= 2 GROUP BY 1",
+    "p4_records": _CLUSTERS
+    + """SELECT i.phash_cluster_id, i.image_id, i.megapixels, q.qc_metrics.laplacian_variance AS laplacian_variance, q.qc_metrics.has_watermark AS has_watermark,
+  q.qc_metrics.watermark_confidence AS watermark_confidence FROM r i JOIN r q USING (phash_cluster_id) WHERE i.a = 1 AND q.b = 1 AND i.n >= 2""",
 }
+ORACLES["p3_blocks"] = ORACLES["p3_found"]

@@ -15,6 +15,7 @@ from curatrix.llm.survivorship import Attribute, survivors
 from curatrix.llm.term_frequency import partial_counts, term_frequencies
 from curatrix.llm.tokens import token_count
 from curatrix.llm.truncation import source_shares, truncated
+from curatrix.operators.state import latest_rows
 
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:
@@ -33,8 +34,9 @@ def p1_frequencies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sets(spark: SparkSession, d: str) -> DataFrame:
-    rows = current_manifest(spark, d, {"category": "category", "context_title": "context_title", "score": row_score()})
-    return rows.withColumn("set_name", set_name("category", "context_title"))
+    # Named before the current rows are taken, so that both uses of them share the shuffle behind the names.
+    named = table(spark, d, "manifest_entries").withColumn("set_name", set_name("category", "context_title"))
+    return latest_rows(named, "image_id", ["updated_at", "line_no"], {"set_name": "set_name", "score": row_score()})
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -75,27 +77,43 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return connected_groups(_links(spark, d)).select(F.col("id").alias("image_id"), "group_id")
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
+def p3_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The groups of p3_found by a grid of small blocks, so that many rounds and blocks run on small tables too."""
+    return connected_groups(_links(spark, d), edges_per_block=300).select(F.col("id").alias("image_id"), "group_id")
+
+
+def _clusters(spark: SparkSession, d: str, *columns: str) -> tuple[DataFrame, list[Attribute]]:
     qc = F.col("qc_metrics")
     score = quality_score(F.col("width"), F.col("height"), F.col("megapixels"), qc.laplacian_variance)
     present = [usable(qc.laplacian_variance).isNotNull(), qc.has_watermark.isNotNull(), qc.watermark_confidence.isNotNull()]
     complete = sum((F.coalesce(p, F.lit(False)).cast("int") for p in present), F.lit(0))
     rows = current_manifest(
-        spark, d, {"phash_cluster_id": "phash_cluster_id", "score": score, "complete": complete, "source": "source", "updated_at": "updated_at"}
+        spark, d, {"phash_cluster_id": "phash_cluster_id", "score": score, "complete": complete, "source": "source", "updated_at": "updated_at", **{c: c for c in columns}}
     )
     name = lambda c: F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
     # A fixed table (one row per trusted source); a sort-merge join takes over where it has grown.
     trust = table(spark, d, "source_trust").groupBy(name("source").alias("trusted")).agg(F.max("trust").alias("trust"))
     rows = rows.where(F.col("phash_cluster_id").isNotNull()).join(trust, name("source") == F.col("trusted"), "left")
     at = F.unix_micros("updated_at")
-    return survivors(
-        rows,
-        "phash_cluster_id",
-        [
-            Attribute("image_id", F.col("image_id"), [F.col("score"), at], [F.col("image_id")]),
-            Attribute("qc_image_id", F.col("image_id"), [F.col("complete"), F.col("trust"), at], [F.col("image_id")]),
-        ],
-    )
+    ranks = {"image_id": [F.col("score"), at], "qc_image_id": [F.col("complete"), F.col("trust"), at]}
+    return rows, [Attribute(name, F.col("image_id"), rank, [F.col("image_id")]) for name, rank in ranks.items()]
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    rows, attributes = _clusters(spark, d)
+    return survivors(rows, "phash_cluster_id", attributes)
+
+
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of each cluster: image_id and megapixels of the best image, qc_metrics of the best measured one."""
+    rows, (image, qc) = _clusters(spark, d, "megapixels", "qc_metrics")
+    metrics = F.col("qc_metrics")
+    values = [
+        image,
+        Attribute("megapixels", F.col("megapixels"), image.rank, image.tie),
+        *[Attribute(name, metrics[name], qc.rank, qc.tie) for name in ("laplacian_variance", "has_watermark", "watermark_confidence")],
+    ]
+    return survivors(rows, "phash_cluster_id", values)
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
@@ -155,5 +173,5 @@ def p8_scores(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_frequencies, p2_found, p2_capped, p3_found, p4_found, p5_found, p5_source_shares, p6_packing, p6_report, p7_mix, p7_report, p8_found, p8_scores)
+    for f in (p1_found, p1_frequencies, p2_found, p2_capped, p3_found, p3_blocks, p4_found, p4_records, p5_found, p5_source_shares, p6_packing, p6_report, p7_mix, p7_report, p8_found, p8_scores)
 }

@@ -112,3 +112,21 @@ def test_mix(spark):
     assert mix(df, []).count() == 0
     alone = mixing_rates(df, spark.createDataFrame([("small", 1.0, None)], targets.schema))
     assert alone[0]["rate"] == 1.0  # a missing cap allows no repetition
+
+
+def test_packing_invariants_on_whole_tables(spark):
+    import os
+
+    from curatrix.llm.queries import QUERIES
+    from curatrix.llm.tokens import token_count
+
+    d = "/root/testdata/sf0.01"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables")
+    sizes = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", token_count(F.col("text")).alias("n")).where(F.col("n").isNotNull())
+    packed = QUERIES["p6_packing"](spark, d)
+    assert packed.groupBy("container_id").agg(F.sum("n_tokens").alias("u"), F.first("capacity").alias("c")).where("u > c").count() == 0
+    whole = packed.groupBy("container_kind", "capacity", "doc_id").agg(F.sum("n_tokens").alias("got"), F.count(F.lit(1)).alias("pieces")).join(sizes, "doc_id", "full")
+    assert whole.where("got is null or n is null or got <> n").count() == 0  # every text whole, in every kind
+    assert whole.where("pieces > 1 and n <= capacity").count() == 0  # split only if it alone exceeds the capacity
+    assert packed.select("container_kind").distinct().count() == 3
