@@ -13,12 +13,16 @@ def _object(text: Column) -> Column:
 
 
 def extract_object(raw: Column) -> Column:
-    """The JSON object in model output as text: inside a json fence, the whole, or between the outermost braces; else null."""
+    """The JSON object in model output as text: inside a code fence, the whole, or between the outermost braces; else null.
+
+    Fence and braces are found by position: what stands between the first two fences, less a language
+    label, and what stands from the first opening to the last closing brace.
+    """
     t = F.trim(raw)
-    fenced = F.nullif(F.regexp_extract(t, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1), F.lit(""))
-    bare = F.regexp_replace(t, r"^`+|`+$", "")
-    braces = F.nullif(F.regexp_extract(t, r"(?s)(\{.*\})", 1), F.lit(""))
-    return F.coalesce(_object(fenced), _object(t), _object(F.trim(bare)), _object(braces))
+    inside = F.trim(F.ltrim(F.try_element_at(F.split(t, "```"), F.lit(2)), F.lit("jsonJSON")))
+    first, back = F.instr(t, "{"), F.instr(F.reverse(t), "}")
+    outer = F.when((first > 0) & (back > 0), F.substring(t, first, F.length(t) - back - first + 2))
+    return F.coalesce(_object(inside), _object(t), _object(F.trim(t, F.lit("` "))), _object(outer))
 
 
 def repair_prefilled(raw: Column) -> Column:

@@ -48,7 +48,7 @@ def resolution_gate(width: Column, height: Column, least_megapixels: float) -> t
 
 
 def quality_reasons(width: Column, height: Column, laplacian: Column, watermark: Column, least_edge: int = 512, least_laplacian: float = 100.0, watermark_detail: Column | None = None) -> Column:
-    """min_edge_below_n, blurry_laplacian_low and watermark_detected_detail, all that apply."""
+    """min_edge_below_n, blurry_laplacian_low and watermark_detected_detail, all that apply (fixed values: the names)."""
     detail = F.coalesce(watermark_detail if watermark_detail is not None else F.lit(None).cast("string"), F.lit("unspecified"))
     return reasons(
         (F.least(width, height) < least_edge, f"min_edge_below_{least_edge}"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from curatrix.functions import compliance, json_repair, scalars
 from curatrix.functions import html as pages
 from curatrix.operators import balance, components, dedup, fingerprint, gates, select, stages
 from curatrix.operators.state import latest_rows
-from curatrix.session import cut_lineage
+from curatrix.plans import reports
+from curatrix.session import checkpoint_dir, cut_lineage
+from curatrix.sources import manifest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -673,6 +676,45 @@ def q_known_and_downloaded(spark, d):
     return _t(spark, d, "captions").where(F.col("image_id").isNotNull()).join(done, "image_id", "left_anti").select("caption_id")
 
 
+# --- files, written from the tables and read back -------------------------------------------------
+
+
+def _folder(spark) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/written/{uuid.uuid4().hex}"
+
+
+@_query("SELECT image_id, arg_max(line_no, line_no)::VARCHAR AS line, arg_max(struct_pack(t := context_title), line_no).t AS context_title FROM manifest_entries WHERE image_id IS NOT NULL GROUP BY 1")
+def q_jsonl_last_wins(spark, d):
+    """The manifest as a JSON-lines log in order of arrival, read back: of every id the line that stands last."""
+    at = _folder(spark)
+    entries = _t(spark, d, "manifest_entries").select("line_no", "image_id", "context_title", F.col("line_no").cast("string").alias("trigger_word"))
+    entries.repartitionByRange("line_no").sortWithinPartitions("line_no").select(F.to_json(F.struct("image_id", "context_title", "trigger_word"))).write.text(at)
+    rows, _ = manifest.read_jsonl(spark, at, last_wins=True)
+    return rows.select("image_id", F.col("trigger_word").alias("line"), "context_title")
+
+
+@_query("SELECT image_id, arg_max(category, (updated_at, line_no)) AS category FROM manifest_entries WHERE image_id IS NOT NULL GROUP BY 1")
+def q_bucketed_state(spark, d):
+    """Two merges of the manifest's halves into a bucketed state, read back."""
+    at = _folder(spark)
+    every = _t(spark, d, "manifest_entries").where(F.col("image_id").isNotNull()).select("image_id", "category", F.struct("updated_at", "line_no").alias("at"), (F.col("line_no") % 2).alias("half"))
+    for half in (1, 0):
+        manifest.merge_buckets(latest_rows(every.where(F.col("half") == half), "image_id", ["at"], {"category": "category", "at": "at"}), at, order="at", buckets=16)
+    return manifest.read_snapshot(spark, at).select("image_id", "category")
+
+
+@_query("SELECT image_id, max(caption_dense) AS caption FROM captions WHERE image_id IS NOT NULL AND caption_dense IS NOT NULL GROUP BY 1")
+def q_caption_versions(spark, d):
+    """Captions kept as versions: a changed text becomes the next version, and the newest is the greatest here."""
+    texts = _t(spark, d, "captions").where(F.col("image_id").isNotNull() & F.col("caption_dense").isNotNull())
+    ends = texts.groupBy("image_id").agg(F.min("caption_dense").alias("first"), F.max("caption_dense").alias("last"))
+    history = ends.select(F.col("image_id").alias("item_id"), F.lit(1).alias("version"), F.col("first").alias("text"))
+    after = reports.caption_versions(history, ends.select(F.col("image_id").alias("item_id"), F.col("last").alias("text")))
+    newest = latest_rows(after, "item_id", ["version"], {"text": "text"})
+    return newest.select(F.col("item_id").alias("image_id"), F.col("text").alias("caption"))
+
+
 # --- relational warm-ups on the star schema ------------------------------------------------------
 
 

@@ -9,11 +9,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def distribution_markdown(distribution: DataFrame, total: int, title: str = "Distribution", most_rows: int = 10_000) -> str:
+#: Most rows a report takes to the driver; a table with more is an error, never cut short.
+MOST_ROWS = 10_000
+#: The trainer's width and height buckets, resolutions and caption settings.
+BUCKETS = ((1024, 1024), (1536, 1024), (1024, 1536), (1280, 832), (832, 1280), (2048, 1024), (1024, 2048))
+RESOLUTIONS = (1024, 1536, 2048)
+CAPTION_EXTENSION = "txt"
+
+
+def _few(df: DataFrame, most: int) -> list:
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows for a report")
+    return rows
+
+
+def distribution_markdown(distribution: DataFrame, total: int, title: str = "Distribution", most_rows: int = MOST_ROWS) -> str:
     """(dimension, value, n) as Markdown tables, shares to one decimal, 0 without rows."""
     out = [f"# {title}", "", f"Total: {total}"]
     current = None
-    for d, v, n in distribution.orderBy("dimension", F.col("n").desc(), "value").select("dimension", "value", "n").limit(most_rows).collect():
+    for d, v, n in _few(distribution.orderBy("dimension", F.col("n").desc(), "value").select("dimension", "value", "n"), most_rows):
         if d != current:
             out += ["", f"## {d}", "", "| value | n | share |", "|---|---|---|"]
             current = d
@@ -39,10 +54,22 @@ def contact_sheet_html(prompts: DataFrame, weights: Sequence[float], most: int =
     return f"<!doctype html><meta charset='utf-8'><table><tr><th>prompt</th>{head}</tr>{body}</table>\n"
 
 
-def dataset_config(repeats: DataFrame, category: str, root: str, resolutions: Sequence[int] = (512, 768, 1024)) -> dict:
-    """A trainer's dataset mapping: resolutions, and a subset per category with its repeats."""
-    rows = repeats.select(category, "repeats").orderBy(category).limit(10_000).collect()
-    return {"resolutions": list(resolutions), "subsets": [{"path": f"{root}/{r[0]}", "repeats": int(r[1])} for r in rows]}
+def dataset_config(repeats: DataFrame, category: str, root: str, default_caption: str = "", resolutions: Sequence[int] = RESOLUTIONS, buckets: Sequence = BUCKETS) -> dict:
+    """A trainer's dataset mapping: folder, caption and cache settings, resolutions, aspect buckets, and a subset per category with its repeats."""
+    rows = _few(repeats.select(category, "repeats").orderBy(category), MOST_ROWS)
+    config = {"folder_path": root, "caption_ext": CAPTION_EXTENSION, "default_caption": default_caption, "cache_latents_to_disk": True, "cache_text_encoder_to_disk": True}
+    config |= {"resolutions": list(resolutions), "buckets": [list(b) for b in buckets]}
+    return config | {"subsets": [{"path": f"{root}/{r[0]}", "repeats": int(r[1]), "caption_ext": CAPTION_EXTENSION} for r in rows]}
+
+
+def write_missing(selected: DataFrame, path: str, key: str) -> None:
+    """Appends the selected rows whose key the table at ``path`` lacks; what is there already stays as it is."""
+    from curatrix.sources.manifest import exists
+
+    fresh = selected.where(F.col(key).isNotNull()).dropDuplicates([key])
+    if exists(selected.sparkSession, path):
+        fresh = fresh.join(selected.sparkSession.read.parquet(path).select(key), key, "left_anti").select(*selected.columns)
+    fresh.write.mode("append").parquet(path)
 
 
 def as_yaml(config: dict) -> str:

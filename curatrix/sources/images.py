@@ -109,14 +109,18 @@ def laplacian_variance(grey: np.ndarray) -> float:
     return round(float(np.var(around - 4 * grey[1:-1, 1:-1])), 2)
 
 
+#: Corner share of height and width, brightness, share of bright pixels and spread that tell a watermark.
+CORNER_HEIGHT, CORNER_WIDTH, BRIGHT, BRIGHT_SHARE, SPREAD = 0.08, 0.18, 240, 0.35, 45
+
+
 def corner_mark(grey: np.ndarray) -> str | None:
     """The first corner whose pixels are bright and of high contrast, as a watermark is; None without one."""
     h, w = grey.shape
     if w < 100 or h < 100:
         return None
-    ch, cw = int(h * 0.08), int(w * 0.18)
+    ch, cw = int(h * CORNER_HEIGHT), int(w * CORNER_WIDTH)
     for i, c in enumerate((grey[:ch, :cw], grey[:ch, w - cw :], grey[h - ch :, :cw], grey[h - ch :, w - cw :])):
-        if (c > 240).mean() > 0.35 and c.std() > 45:
+        if (c > BRIGHT).mean() > BRIGHT_SHARE and c.std() > SPREAD:
             return f"high_contrast_corner_{i}"
     return None
 

@@ -19,18 +19,18 @@ def windowed_counts(events: DataFrame, time: str, by: str, width: str = "5 minut
     return g.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), by, "n", "total")
 
 
-def upsert_stream(changes: DataFrame, root: str, checkpoint: str, key: str = "image_id", order: str = "updated_at") -> StreamingQuery:
-    """Every micro-batch merged into the snapshot below ``root``; a batch run again merges to the same state."""
-    from curatrix.sources.manifest import publish, read_snapshot, upsert
+def upsert_stream(changes: DataFrame, root: str, checkpoint: str, key: str = "image_id", order: str = "updated_at", buckets: int = 256) -> StreamingQuery:
+    """Every micro-batch merged into the state below ``root``, of which only the parts it touches are rewritten.
+
+    A batch run again merges to the same state.
+    """
+    from curatrix.sources.manifest import merge_buckets
 
     def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
+        held = batch.persist()  # read once to find the parts and once to merge
         try:
-            state = read_snapshot(spark, root)
-        except Exception as e:  # no snapshot yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            state = batch.limit(0)
-        publish(upsert(state, batch, key, order), root)
+            merge_buckets(held, root, key, order, buckets)
+        finally:
+            held.unpersist()
 
     return changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

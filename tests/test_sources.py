@@ -1,4 +1,6 @@
 import json
+
+import pytest
 import struct
 import zlib
 
@@ -70,6 +72,45 @@ def test_manifest_round_trip(spark, tmp_path):
     assert manifest.insert_absent(rows, rows.union(changes.withColumn("image_id", F.lit("b"))), "image_id").count() == 2
 
 
+def test_last_line_wins(spark, tmp_path):
+    lines = [{"image_id": f"i{k % 50}", "width": k} for k in range(5000)]
+    (tmp_path / "a.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n")
+    (tmp_path / "b.jsonl").write_text(json.dumps({"image_id": "i7", "width": -1}) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # one file in several tasks
+    try:
+        rows, corrupt = manifest.read_jsonl(spark, str(tmp_path / "*.jsonl"), last_wins=True)
+        got = {r.image_id: r.width for r in rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {f"i{k}": -1 if k == 7 else 4950 + k for k in range(50)} and corrupt.count() == 0
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    import os
+
+    root = str(tmp_path / "state")
+    rows = lambda ids, v, t: spark.createDataFrame([(i, v, t) for i in ids], "image_id string, v int, updated_at int")
+    ids = [f"i{k}" for k in range(100)]
+    assert len(manifest.merge_buckets(rows(ids, 1, 1), root, buckets=8)) == 8
+    touched = manifest.merge_buckets(rows(["i3"], 2, 2), root, buckets=99)
+    assert len(touched) == 1  # the number of parts stays
+    manifest.merge_buckets(rows(["i4"], 0, 0), root)  # older: the state stays
+    manifest.merge_buckets(rows(["i3", None], 2, 2), root)  # again: the same state
+    got = {r.image_id: r.v for r in manifest.read_snapshot(spark, root).collect()}
+    assert got == {i: 2 if i == "i3" else 1 for i in ids}
+    assert manifest.merge_buckets(rows([], 1, 1), root) == []
+    assert len(os.listdir(f"{root}/buckets")) <= 5
+    with pytest.raises(FileNotFoundError):
+        manifest.read_snapshot(spark, str(tmp_path / "none"))
+
+
+def test_write_missing_keeps_what_is_there(spark, tmp_path):
+    at = str(tmp_path / "subset")
+    reports.write_missing(spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), (None, 1)], "k string, v int"), at, "k")
+    reports.write_missing(spark.createDataFrame([("b", 2), ("c", 2)], "k string, v int"), at, "k")
+    assert sorted(tuple(r) for r in spark.read.parquet(at).collect()) == [("a", 1), ("b", 1), ("c", 2)]
+
+
 def test_config(spark, tmp_path):
     (tmp_path / "c.yaml").write_text("a: 1")
     assert config.load_yaml(str(tmp_path / "c.yaml")) == {"a": 1} and config.load_yaml(str(tmp_path / "no.yaml")) == {}
@@ -89,6 +130,9 @@ def test_reports(spark):
     assert "&lt;b&gt;" in reports.sample_html(d, ["value"])
     cfg = reports.dataset_config(spark.createDataFrame([("a", 2)], "c string, repeats int"), "c", "data")
     assert "repeats: 2" in reports.as_yaml(cfg) and 'path = "data/a"' in reports.as_toml(cfg)
+    assert len(cfg["buckets"]) == 7 and cfg["resolutions"] == [1024, 1536, 2048] and cfg["caption_ext"] == "txt"
+    with pytest.raises(ValueError):
+        reports.distribution_markdown(d, 4, most_rows=1)
     hist = spark.createDataFrame([("i", 1, "x"), ("j", 1, "y")], "item_id string, version int, text string")
     new = spark.createDataFrame([("i", "z"), ("j", "y"), ("k", "n")], "item_id string, text string")
     assert sorted(tuple(r) for r in reports.caption_versions(hist, new).collect()) == [("i", 1, "x"), ("i", 2, "z"), ("j", 1, "y"), ("k", 1, "n")]
