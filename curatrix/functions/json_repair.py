@@ -36,8 +36,11 @@ def field(json: Column, name: str) -> Column:
     return F.nullif(F.trim(F.get_json_object(json, f"$.{name}")), F.lit(""))
 
 
-def caption_of_tier(raw: Column, tier: str) -> Column:
-    """The caption of a tier, else the dense, mid and short ones, else the description, else the raw text."""
-    j = extract_object(raw)
+def caption_of_tier(raw: Column, tier: str, extracted: Column | None = None) -> Column:
+    """The caption of a tier, else the dense, mid and short ones, else the description, else the raw text.
+
+    Give extract_object of the raw text as ``extracted``, from a projection below, so that it is made once.
+    """
+    j = extract_object(raw) if extracted is None else extracted
     chain = [f"caption_{tier}", "caption_dense", "caption_mid", "caption_short", "description"]
-    return F.coalesce(*[field(j, n) for n in chain], F.trim(raw))
+    return F.coalesce(*[field(j, n) for n in dict.fromkeys(chain)], F.trim(raw))

@@ -676,6 +676,51 @@ def q_known_and_downloaded(spark, d):
     return _t(spark, d, "captions").where(F.col("image_id").isNotNull()).join(done, "image_id", "left_anti").select("caption_id")
 
 
+@_query(
+    r"""SELECT doc_id, page_url IS NOT NULL AND h IS NOT NULL AND NOT starts_with(h, 'b') AND NOT (starts_with(h, 'c') AND regexp_matches(page_url, '^[a-z]+://[^/]+/(caption/|post/1)')) AS allowed
+    FROM (SELECT doc_id, page_url, nullif(lower(regexp_extract(page_url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)), '') AS h FROM documents)"""
+)
+def q_robots_allowed(spark, d):
+    """Pages under rules made for their hosts: those of 'b' close everything, those of 'c' some paths, a page without a host has none."""
+    docs = _t(spark, d, "documents").select("doc_id", "page_url", scalars.url_host(F.col("page_url")).alias("host"))
+    closed = "Disallow: /caption/\nDisallow: /post/1"
+    rules = F.when(F.startswith("host", F.lit("b")), "Disallow: /").when(F.startswith("host", F.lit("c")), closed).otherwise("Disallow:")
+    robots = docs.where("host is not null").select("host", F.concat(F.lit("User-agent: *\n"), rules).alias("robots_txt")).distinct()
+    return compliance.robots_allowed(docs, robots, "page_url", "host").select("doc_id", F.col("robots_allowed").alias("allowed"))
+
+
+@_query(
+    """SELECT line_no, 'Set ' || line_no AS title, ['g' || (line_no % 7), 'h' || (line_no % 3)] AS genres, coalesce(source_url, '') AS format, (line_no % 40)::VARCHAR AS photos FROM manifest_entries"""
+)
+def q_post_metadata(spark, d):
+    """Lines of a post made of each row's columns, read back as title, genres and labelled values."""
+    n = F.col("line_no")
+    text = F.concat(
+        F.lit("Genre: old,\r\n\r\n  Set "), n, F.lit("\nGenres: g"), n % 7, F.lit(" , h"), n % 3, F.lit(",\nformat : "), F.coalesce("source_url", F.lit("")), F.lit("\nNumber of photos: "), n % 40, F.lit("\n[img]x[/img]"),
+    )
+    post = scalars.post_metadata(text)
+    return _t(spark, d, "manifest_entries").select("line_no", post.alias("p")).select("line_no", "p.title", "p.genres", F.coalesce(F.col("p.metadata")["format"], F.lit("")).alias("format"), F.col("p.metadata")["photos_count"].alias("photos"))
+
+
+@_query("SELECT line_no, greatest(line_no % 5 + 1, line_no % 9 + 1)::INT AS pages FROM manifest_entries")
+def q_page_count(spark, d):
+    n = F.col("line_no")
+    html = F.concat(F.lit("<a href='/set?page="), n % 5 + 1, F.lit("'>x</a> <a href=\"/set/page-"), n % 9 + 1, F.lit("\">y</a> 999"))
+    return _t(spark, d, "manifest_entries").select("line_no", scalars.page_count(html).alias("pages"))
+
+
+@_query(
+    """SELECT caption_id, coalesce(nullif(trim(caption_dense), ''), nullif(trim(description), ''), 'none') AS caption FROM captions"""
+)
+def q_caption_fallback(spark, d):
+    """The caption of a tier that model output lacks: the dense one, else the description, else the raw text."""
+    raw = F.to_json(F.struct("caption_dense", "description"))
+    blank = (F.coalesce(F.trim("caption_dense"), F.lit("")) == "") & (F.coalesce(F.trim("description"), F.lit("")) == "")
+    rows = _t(spark, d, "captions").select("caption_id", F.when(blank, "none").otherwise(F.concat(F.lit("```json\n"), raw, F.lit("\n```"))).alias("raw"))
+    rows = rows.withColumn("j", json_repair.extract_object(F.col("raw")))
+    return rows.select("caption_id", json_repair.caption_of_tier(F.col("raw"), "mid", F.col("j")).alias("caption"))
+
+
 # --- files, written from the tables and read back -------------------------------------------------
 
 
