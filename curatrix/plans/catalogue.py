@@ -380,8 +380,7 @@ def q_primary_ranking(spark, d):
 @_query(f"SELECT image_id, arg_max(caption_dense, ({_words_sql('caption_dense')}, -caption_id)) AS best_caption FROM captions WHERE trim(caption_dense) <> '' AND ({_tokens_sql('caption_dense')} > 150 OR {_words_sql('caption_dense')} >= 280) AND image_id IS NOT NULL GROUP BY 1")
 def q_best_caption_in_group(spark, d):
     c = _t(spark, d, "captions").where("image_id is not null")
-    long_ones = c.where(scalars.already_updated(F.col("caption_dense"), F.lit(False), 150))
-    return dedup.best_updated_caption(long_ones, "image_id", "caption_dense", F.lit(True), "caption_id")
+    return dedup.best_updated_caption(c, "image_id", "caption_dense", F.lit(False), "caption_id", 150)
 
 
 @_query(

@@ -62,6 +62,56 @@ def _jpeg(head: bytes) -> tuple[int, int] | None:
     return None
 
 
+#: The tag that holds a picture's orientation, and how each of its values lies: (turned a quarter, mirrored, upside down).
+ORIENTATION_TAG = 0x0112
+ORIENTATIONS = {1: (False, False, False), 2: (False, True, False), 3: (False, True, True), 4: (False, False, True), 5: (True, False, False), 6: (True, False, True), 7: (True, True, True), 8: (True, True, False)}
+
+
+def orientation(head: bytes | None) -> int:
+    """The orientation, 1 to 8, in a JPEG's metadata; 1 where there is none or it can't be read."""
+    if head is None or head[:2] != b"\xff\xd8":
+        return 1
+    at = 2
+    try:
+        while head[at] == 0xFF and head[at + 1] not in (0xD9, 0xDA):
+            size = struct.unpack(">H", head[at + 2 : at + 4])[0]
+            if head[at + 1] == 0xE1 and head[at + 4 : at + 10] == b"Exif\0\0":
+                tiff = head[at + 10 : at + 2 + size]
+                order = {b"II": "<", b"MM": ">"}[tiff[:2]]
+                start = struct.unpack(order + "I", tiff[4:8])[0]
+                for k in range(struct.unpack(order + "H", tiff[start : start + 2])[0]):
+                    tag, kind, _, value = struct.unpack(order + "HHIH", tiff[start + 2 + 12 * k : start + 12 + 12 * k])
+                    if tag == ORIENTATION_TAG and kind == 3 and value in ORIENTATIONS:
+                        return value
+                return 1
+            at += 2 + size
+    except (struct.error, IndexError, KeyError):
+        return 1
+    return 1
+
+
+def upright(pixels: np.ndarray, how: int) -> np.ndarray:
+    """Pixels (rows first) as the orientation means them to be seen."""
+    turned, mirrored, upside_down = ORIENTATIONS[how]
+    # A quarter turn is an exchange of rows and columns, then the flips that the value names apply to the stored picture.
+    out = pixels[::-1] if upside_down else pixels
+    out = out[:, ::-1] if mirrored else out
+    return out.swapaxes(0, 1) if turned else out
+
+
+def _upright_batch(heads: pd.Series) -> pd.DataFrame:
+    found = []
+    for h in heads:
+        size = dimensions(bytes(h)) if h is not None else None
+        found.append((size[::-1] if ORIENTATIONS[orientation(bytes(h))][0] else size) if size else (None, None))
+    return pd.DataFrame({"width": pd.array([f[0] for f in found], "Int32"), "height": pd.array([f[1] for f in found], "Int32")})
+
+
+def sniff_upright(content: Column, head_bytes: int = 65_536) -> Column:
+    """struct(width, height) as the picture is meant to be seen: exchanged where its orientation turns it a quarter."""
+    return pandas_udf(_upright_batch, "width int, height int")(F.substring(content, 1, head_bytes))
+
+
 def _dimensions_batch(heads: pd.Series) -> pd.DataFrame:
     found = [dimensions(bytes(h)) if h is not None else None for h in heads]
     return pd.DataFrame({"width": pd.array([f[0] if f else None for f in found], "Int32"), "height": pd.array([f[1] if f else None for f in found], "Int32")})

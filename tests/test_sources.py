@@ -58,6 +58,27 @@ def test_pixels(spark, tmp_path):
     assert images.corner_mark(mark) == "high_contrast_corner_0" and images.corner_mark(np.zeros((200, 200))) is None
 
 
+def jpeg_head(width, height, how, order):
+    e = "<" if order == b"II" else ">"
+    tiff = order + struct.pack(e + "HI", 42, 8) + struct.pack(e + "H", 2) + struct.pack(e + "HHII", 0x0100, 4, 1, 7) + struct.pack(e + "HHIHH", 0x0112, 3, 1, how, 0) + b"\0" * 4
+    exif = b"Exif\0\0" + tiff
+    return b"\xff\xd8\xff\xe1" + struct.pack(">H", len(exif) + 2) + exif + b"\xff\xc0" + struct.pack(">HBHH", 17, 8, height, width) + b"\0" * 12
+
+
+def test_orientation(spark):
+    for order in (b"II", b"MM"):
+        assert [images.orientation(jpeg_head(30, 20, k, order)) for k in range(1, 9)] == list(range(1, 9))
+    assert images.orientation(jpeg_head(30, 20, 9, b"II")) == images.orientation(b"\xff\xd8\xff\xe1\0") == images.orientation(None) == images.orientation(b"\x89PNG") == 1
+    seen = np.arange(6).reshape(2, 3)
+    # What is stored for a picture to be seen so, by the meaning of each value.
+    stored = {1: seen, 2: seen[:, ::-1], 3: seen[::-1, ::-1], 4: seen[::-1], 5: seen.T, 6: np.rot90(seen, 1), 7: seen[::-1, ::-1].T, 8: np.rot90(seen, -1)}
+    for how, pixels in stored.items():
+        assert (images.upright(pixels, how) == seen).all(), how
+    df = spark.createDataFrame([(1, jpeg_head(30, 20, 6, b"MM")), (2, jpeg_head(30, 20, 3, b"II")), (3, None), (4, b"no picture at all")], "i int, c binary")
+    got = {r.i: (r.s.width, r.s.height) for r in df.select("i", images.sniff_upright(F.col("c")).alias("s")).collect()}
+    assert got == {1: (20, 30), 2: (30, 20), 3: (None, None), 4: (None, None)}
+
+
 def test_manifest_round_trip(spark, tmp_path):
     p = tmp_path / "m.jsonl"
     p.write_text(json.dumps({"image_id": "a", "width": 3, "updated_at": "2024-01-01T00:00:00Z"}) + "\n\n{bad\n")
