@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import current_captions, current_manifest, quality_score, row_score, table, usable
 from curatrix.llm.contributor_cap import set_name, split_by_cap
 from curatrix.llm.grouping import connected_groups
-from curatrix.llm.mixing import counted_documents, mix, mixing_rates, share_report
+from curatrix.llm.mixing import counted_documents, mix, mixing_rates, share_report, source_name
 from curatrix.llm.packing import fill_report, pack
 from curatrix.llm.stuffing import page_scores, stuffed_pages
 from curatrix.llm.survivorship import Attribute, survivors
@@ -134,7 +134,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_source_shares(spark: SparkSession, d: str) -> DataFrame:
     """Share of cut texts per engine and manifest source, over the rows with a text that isn't blank, refusals included."""
     texts = _texts(spark, d).where(F.regexp_like("text", F.lit(r"(?U)\S")))
-    judged = texts.select("uid", F.lower(F.trim("source")).alias("source")).join(truncated(texts), "uid").withColumn("text_column", _text_column())
+    judged = texts.select("uid", source_name(F.col("source")).alias("source")).join(truncated(texts), "uid").withColumn("text_column", _text_column())
     return source_shares(judged, F.col("source"))
 
 
