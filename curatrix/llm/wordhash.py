@@ -51,6 +51,7 @@ class Words:
     text: np.ndarray
     first: np.ndarray
     past: np.ndarray
+    sums: np.ndarray
 
     def context(self, order: int, salt: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the ``order`` words ending at each word, and whether that many lie in its text."""
@@ -60,6 +61,10 @@ class Words:
         inside = np.arange(len(self.hash)) - self.first[self.text] >= order - 1
         return mixed(acc + np.asarray(salt, U) * U(0x9E3779B97F4A7C15) + U(order)), inside
 
+    def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of the bytes from ``start`` to ``end``, whatever they are; ASCII case is folded."""
+        return mixed((self.sums[end] - self.sums[start]) * _power_tables(len(self.data) + 1)[1][start])
+
 
 def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Words:
     """Words of the texts data[start[i]:end[i]] (in order, not overlapping).
@@ -97,7 +102,7 @@ def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Words:
     text = np.searchsorted(start, begins, side="right") - 1
     first = np.searchsorted(begins, start)
     past = np.searchsorted(begins, end)
-    return Words(data, start, end, begins, ends, h, text, first, np.maximum(past, first))
+    return Words(data, start, end, begins, ends, h, text, first, np.maximum(past, first), total)
 
 
 def text_chunks(column: pa.Array, most_bytes: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

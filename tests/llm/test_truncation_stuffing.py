@@ -164,6 +164,45 @@ def test_copies_cost_a_row_each_not_a_pair(spark, monkeypatch):
     assert seen[0].count() < 30 * 150
 
 
+def near_misses(rng, base, n):
+    """Texts with two words of ``base`` changed, far apart: too little in common, yet many have a band in common."""
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for i in rng.sample(range(5, 50, 6), 2):
+            w[i] = f"x{rng.randrange(10**9)}"
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("cells", [(512, 20_000), (1, 7)])
+def test_partners_between_the_representatives_are_tried(spark, monkeypatch, cells):
+    """Of 201 texts that go on alike, only the one in the middle is a near-copy."""
+    monkeypatch.setattr(T, "CELL_CUTS", cells[0], raising=False)
+    monkeypatch.setattr(T, "CELL_WHOLES", cells[1], raising=False)
+    base = [f"word{i}" for i in range(60)]
+    whole = " ".join(base)
+    others = near_misses(random.Random(6), base, 200)
+    rest = [" in the garden by the sea", " on a quiet day. The sky is blue", " beside an old lantern"]
+    rows, cuts = [], [whole + " in the gard", whole + " in the garden", whole + " on a quiet day.", whole + " beside an old lan"]
+    for g, tail in enumerate(rest):
+        rows += [(1000 * g + i, t + tail) for i, t in enumerate(others[:100] + [whole] + others[100:])]
+    rows += [(9000 + i, t) for i, t in enumerate(cuts)]
+    assert all(T.align(c, t + rest[g]) is None for c, g in zip(cuts, (0, 0, 1, 2)) for t in others)
+    got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame(rows, "uid long, text string").repartition(3)).collect()}
+    assert [got[9000 + i] for i in range(4)] == [(True, "aligned"), (True, "aligned"), (False, "aligned"), (True, "aligned")]
+
+
+def test_a_later_place_of_the_same_words(spark):
+    """Texts alike up to a place differ if the same words recur after it, as the nearest place counts."""
+    base = " ".join(f"word{i}" for i in range(40))
+    cut, whole = base + " by the long stone wall of", base + " by the long stone wall of a house"
+    again = [whole + f" or y{k} by the long stone wall of a barn" for k in range(3)]
+    rows = [(0, again[0]), (1, whole), *((2 + k, t) for k, t in enumerate(again[1:])), (9, cut)]
+    got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame(rows, "uid long, text string")).collect()}
+    assert got[9] == (True, "aligned")
+
+
 def test_cut_inside_the_last_word(spark):
     whole = " ".join(f"word{i} stands beside item{i}" for i in range(30)) + " in the garden"
     got = {r.uid: (r.cut, r.how) for r in T.truncated(spark.createDataFrame([(1, whole), (2, whole[:-3])], "uid long, text string")).collect()}
